@@ -74,35 +74,40 @@ def _tile(place: Column, total: Column, tiles: int) -> Column:
     )
 
 
-def with_sequence(
-    df: DataFrame, key: str, ts: str, tiebreak: str, sequence: str, first_ts: str
+def sequence_per_key(
+    df: DataFrame, key: str, ts: str, id_column: str, sequence: str, first_ts: str
 ) -> DataFrame:
-    """Number the rows of each key by (ts, tiebreak) and add the key's first ts.
+    """Number the rows of each key by (ts, id) and add the key's first ts.
 
     A key's rows are windowed by day, not as one group: the number within the day
     plus the rows of the key's earlier days is the number within the key. The
     second step only sees one row per key and day, so a key that holds a third of
-    the table costs its number of days, not its number of rows. Both uses of the
-    daily windows share one shuffle.
+    the table costs its number of days, not its number of rows.
+
+    The result has the columns id, key, ts, sequence and first_ts only: with no
+    other column to carry, both uses of the daily windows read the same shuffle.
     """
     # Structs compare null-safe, so rows without a key or a time stay in.
-    slices = df.withColumn("_slice", F.struct(F.col(key), F.to_date(ts).alias("_day")))
+    day = F.to_date(ts).alias("day")
+    slices = df.select(id_column, ts, F.struct(F.col(key).alias("key"), day).alias("_slice"))
     in_slice = Window.partitionBy("_slice").orderBy(
-        F.col(ts).asc_nulls_last(), F.col(tiebreak).asc_nulls_last()
+        F.col(ts).asc_nulls_last(), F.col(id_column).asc_nulls_last()
     )
     numbered = slices.withColumn("_n", F.row_number().over(in_slice))
     per_slice = numbered.groupBy("_slice").agg(
         F.max("_n").cast("bigint").alias("_size"), F.min(ts).alias("_first")
     )
-    in_key = Window.partitionBy(F.col("_slice").getField(key))
-    so_far = in_key.orderBy(F.col("_slice._day").asc_nulls_last())
+    in_key = Window.partitionBy(F.col("_slice.key"))
+    so_far = in_key.orderBy(F.col("_slice.day").asc_nulls_last())
     carried = per_slice.select(
         "_slice",
         (F.sum("_size").over(so_far) - F.col("_size")).alias("_before"),
         F.min("_first").over(in_key).alias(first_ts),
     )
-    return (
-        numbered.join(carried, "_slice")
-        .withColumn(sequence, F.col("_before") + F.col("_n"))
-        .drop("_slice", "_n", "_before")
+    return numbered.join(carried, "_slice").select(
+        id_column,
+        F.col("_slice.key").alias(key),
+        ts,
+        (F.col("_before") + F.col("_n")).alias(sequence),
+        first_ts,
     )

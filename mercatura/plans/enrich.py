@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from mercatura.functions.calendar import days_between, month_start
 from mercatura.operators.dedupe import first_per_key
-from mercatura.operators.ranking import with_sequence
+from mercatura.operators.ranking import sequence_per_key
 
 
 def delivery_delay_days() -> Column:
@@ -143,14 +143,11 @@ def int_customer_enriched(
     orders: DataFrame, customers: DataFrame, order_items: DataFrame
 ) -> DataFrame:
     """One row per live order with its place in the customer's history."""
-    placed = with_customer(live_orders(orders), customers, "customer_unique_id").select(
-        "order_id", "customer_unique_id", "order_purchase_timestamp"
-    )
-    sequenced = with_sequence(
-        placed,
+    sequenced = sequence_per_key(
+        with_customer(live_orders(orders), customers, "customer_unique_id"),
         key="customer_unique_id",
         ts="order_purchase_timestamp",
-        tiebreak="order_id",
+        id_column="order_id",
         sequence="order_sequence",
         first_ts="first_order_timestamp",
     )

@@ -98,17 +98,14 @@ class Marketplace:
     @cached_property
     def customers(self) -> DataFrame:
         people = self.source("customer").select("c_custkey", F.col("c_nationkey").alias("_nation"))
+        people = people.join(self._nations(), "_nation", "left")
         placed = self.source("orders").select("o_orderkey", "o_custkey")
-        return (
-            placed.join(people, placed.o_custkey == people.c_custkey, "left")
-            .join(self._nations(), "_nation", "left")
-            .select(
-                F.col("o_orderkey").alias("customer_id"),
-                F.col("o_custkey").alias("customer_unique_id"),
-                F.col("_nation").cast("string").alias("customer_zip_code_prefix"),
-                F.concat(F.col("_state"), F.lit(" city")).alias("customer_city"),
-                F.col("_state").alias("customer_state"),
-            )
+        return placed.join(people, placed.o_custkey == people.c_custkey, "left").select(
+            F.col("o_orderkey").alias("customer_id"),
+            F.col("o_custkey").alias("customer_unique_id"),
+            F.col("_nation").cast("string").alias("customer_zip_code_prefix"),
+            F.concat(F.col("_state"), F.lit(" city")).alias("customer_city"),
+            F.col("_state").alias("customer_state"),
         )
 
     @cached_property
