@@ -45,4 +45,5 @@ def register(
 from oracles import (  # noqa: E402,F401
     models_sql,
     analyses_sql,
+    loads_sql,
 )
