@@ -46,4 +46,6 @@ from oracles import (  # noqa: E402,F401
     models_sql,
     analyses_sql,
     loads_sql,
+    quality_sql,
+    star_sql,
 )
