@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 
 
-def surrogate_key(*columns: str | Column) -> Column:
-    """md5 over the columns as text, joined with '-', nulls as a fixed token."""
-    parts = [F.col(c) if isinstance(c, str) else c for c in columns]
-    return F.md5(
-        F.concat_ws("-", *[F.coalesce(p.cast("string"), F.lit(NULL_TOKEN)) for p in parts])
-    )
+def surrogate_key(*columns: str) -> Column:
+    """md5 over the named columns as text, joined with '-', nulls as a fixed token."""
+    parts = ", ".join(f"coalesce(cast({c} as string), '{NULL_TOKEN}')" for c in columns)
+    return F.expr(f"md5(concat_ws('-', {parts}))")

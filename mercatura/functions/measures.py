@@ -7,6 +7,8 @@ up and half values round the same way on every run.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,6 +32,16 @@ def weighted_mean(column: Column, weight: Column, places: int) -> Column:
     )
 
 
+def money_sum(column: Column) -> Column:
+    """Sum of a decimal with two places, added up in whole cents.
+
+    Sums of longs update in place in the aggregation map, sums of wide decimals
+    do not. For sums within one order; a total past 9e16 is an error, not a wrap.
+    """
+    cents = (column * 100).cast("bigint")
+    return (F.sum(cents).cast("decimal(19,0)") * F.lit(Decimal("0.01"))).cast("decimal(20,2)")
+
+
 def weighted_sum(column: Column, weight: Column) -> Column:
     return F.sum(column * weight.cast("decimal(12,0)"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercatura.functions.calendar import days_between, month_start
+from mercatura.functions.measures import money_sum
 from mercatura.operators.dedupe import first_per_key
 from mercatura.operators.ranking import sequence_per_key
 
@@ -29,7 +30,7 @@ def is_on_time() -> Column:
 
 def with_payment_summary(orders: DataFrame, payments: DataFrame) -> DataFrame:
     summary = payments.groupBy("order_id").agg(
-        F.sum("payment_value").alias("_paid"),
+        money_sum(F.col("payment_value")).alias("_paid"),
         F.max("payment_installments").alias("max_installments"),
         F.count(F.lit(1)).alias("payment_count"),
     )
@@ -151,7 +152,7 @@ def int_customer_enriched(
         sequence="order_sequence",
         first_ts="first_order_timestamp",
     )
-    values = order_items.groupBy("order_id").agg(F.sum("price").alias("_value"))
+    values = order_items.groupBy("order_id").agg(money_sum(F.col("price")).alias("_value"))
     first = F.col("first_order_timestamp")
     return sequenced.join(values, "order_id", "left").select(
         "order_id",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from mercatura.functions.calendar import days_between, month_start, months_between
 from mercatura.functions.measures import (
     mean,
+    money_sum,
     percentage,
     rounded_ratio,
     weighted_mean,
@@ -55,13 +56,13 @@ def items_per_order_and_category(order_items: DataFrame, products: DataFrame) ->
         .groupBy("order_id", "category_name_english")
         .agg(
             F.count(F.lit(1)).alias("items"),
-            F.sum("price").alias("price"),
+            money_sum(F.col("price")).alias("price"),
             F.count("price").alias("priced"),
-            F.sum("freight_value").alias("freight"),
+            money_sum(F.col("freight_value")).alias("freight"),
             F.count("freight_value").alias("freighted"),
-            F.sum(share).alias("freight_pct"),
+            money_sum(share).alias("freight_pct"),
             F.count(share).alias("shared"),
-            F.sum("weight_g").alias("weight"),
+            money_sum(F.col("weight_g")).alias("weight"),
             F.count("weight_g").alias("weighed"),
         )
     )
@@ -160,7 +161,7 @@ def mart_delivery_analysis(
     """Corridors with at least ten delivered items, worst average delay first."""
     per_order = order_items.groupBy("order_id", "seller_id").agg(
         F.count(F.lit(1)).alias("items"),
-        F.sum("freight_value").alias("freight"),
+        money_sum(F.col("freight_value")).alias("freight"),
         F.count("freight_value").alias("freighted"),
     )
     ends = delivered_with_corridor_end(orders, customers).select(
