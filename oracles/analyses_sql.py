@@ -5,7 +5,7 @@ from __future__ import annotations
 from mercatura.plans import analyses, dashboard
 from oracles.duck import avg_rr, month_diff, pct_rr, rr
 from oracles.models_sql import CORRIDORS
-from oracles.registry import register
+from oracles.entries import register
 
 # Marts carry rounded doubles; tenths and hundredths as integers average exactly.
 def _avg(column: str, digits: int, places: int) -> str:

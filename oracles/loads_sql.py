@@ -15,7 +15,7 @@ from mercatura.sources.contracts import CONTRACTS
 from mercatura.streaming.incremental import merge_stream
 from oracles.duck import key
 from oracles.models_sql import STG_ITEMS, STG_ORDERS, STG_REVIEWS
-from oracles.registry import register
+from oracles.entries import register
 
 FORMAT = "yyyy-MM-dd HH:mm:ss"
 

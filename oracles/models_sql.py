@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracles.duck import key
-from oracles.registry import register
+from oracles.entries import register
 
 ORDER_TIMES = (
     "order_purchase_timestamp t, order_approved_at t, order_delivered_carrier_date t, "

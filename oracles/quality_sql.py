@@ -13,7 +13,7 @@ from mercatura.plans import suites
 from mercatura.plans.models import Models
 from mercatura.session import stage
 from oracles.duck import key
-from oracles.registry import register
+from oracles.entries import register
 
 RESULT = (
     "table_name s, check_no i, expectation_type s, column_name s, element_count i, "

@@ -8,7 +8,7 @@ from mercatura.plans import marts, star
 from oracles.duck import avg_rr, key, pct_rr, rr, _BUCKET
 from oracles.loads_sql import CUSTOMER_HISTORY, SELLER_HISTORY, customer_history, seller_history
 from oracles.models_sql import CATEGORY, PAYMENT, SELLER
-from oracles.registry import register
+from oracles.entries import register
 
 _CALENDAR = """(
   select strftime(d, '%Y%m%d') as date_key, d as full_date, year(d) as year,
