@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.session import stage
+from mercatura.session import drop_path, path_exists, stage
 
 
 def recent(source: DataFrame, target: DataFrame, ts: str, lookback_days: int = 3) -> DataFrame:
@@ -66,7 +66,7 @@ def upsert_partitions(
     merged partitions are staged before any file of the table is replaced, so a
     lost executor or a failed write can be repeated from the staged rows.
     """
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         batch.write.partitionBy(*partition_columns).parquet(path)
         return
     batch = stage(batch, "batch")
@@ -88,8 +88,8 @@ def upsert_partitions(
     )
     filled = set(merged.select(*partition_columns).distinct().collect())
     for row in touched:
-        if row not in filled:
-            _drop_partition(spark, path, row)
+        if row not in filled:  # its last row moved to another partition
+            drop_path(spark, _partition_path(path, row))
 
 
 def _in_partitions(rows: Sequence[Row]) -> Column:
@@ -100,21 +100,9 @@ def _in_partitions(rows: Sequence[Row]) -> Column:
     return reduce(lambda a, b: a | b, map(one, rows))
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder, files = _folder(spark, path)
-    return files.exists(folder)
-
-
-def _drop_partition(spark: SparkSession, path: str, row: Row) -> None:
-    """Remove the folder of a partition that lost its last row to another one."""
-    parts = "/".join(
+def _partition_path(path: str, row: Row) -> str:
+    parts = (
         f"{c}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
         for c, value in row.asDict().items()
     )
-    folder, files = _folder(spark, f"{path}/{parts}")
-    files.delete(folder, True)
+    return "/".join([path, *parts])

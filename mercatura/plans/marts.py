@@ -211,15 +211,23 @@ def installment_bucket() -> Column:
     )
 
 
-def _payment_measures(weight: Column) -> list[Column]:
-    value = F.col("total_order_value")
-    return [
-        F.count(F.lit(1)).alias("order_count"),
-        weighted_mean(value, weight, 2).alias("avg_order_value"),
-        F.round(weighted_sum(value, weight), 2).alias("total_revenue"),
-        weighted_mean(F.col("review_score"), weight, 2).alias("avg_review_score"),
-        percentage(F.col("order_status") == "canceled", 1, weight).alias("cancellation_rate_pct"),
-    ]
+def payments_per_order(payments: DataFrame) -> DataFrame:
+    """Totals per order with the number of payments of each type.
+
+    Counted per order and type first: an order with very many payments shrinks
+    to its few types on the map side, and so does the list kept per order.
+    """
+    per_type = payments.groupBy("order_id", "payment_type").agg(
+        F.count(F.lit(1)).alias("type_rows"),
+        money_sum(F.col("payment_value")).alias("paid"),
+        F.max("payment_installments").alias("installments"),
+    )
+    return per_type.groupBy("order_id").agg(
+        F.sum("paid").cast("decimal(20,2)").alias("paid"),
+        F.max("installments").alias("max_installments"),
+        F.sum("type_rows").alias("payment_count"),
+        F.collect_list(F.struct("payment_type", "type_rows")).alias("types"),
+    )
 
 
 def mart_payment_behavior(
@@ -228,33 +236,45 @@ def mart_payment_behavior(
     """Two grains in one table: by installment bucket and by payment type.
 
     As defined, an order's value counts once per payment row;
-    ``once_per_order`` counts it once per group.
+    ``once_per_order`` counts it once per group. Each order is emitted once for
+    its bucket and once per payment type, so both grains come from one pass.
     """
-    known = with_latest_review(
-        with_payment_summary(orders.select("order_id", "order_status"), payments), reviews
+    known = orders.select("order_id", "order_status").join(
+        payments_per_order(payments), "order_id", "left"
     )
-    by_bucket = (
-        known.where(F.col("max_installments").isNotNull())
-        .groupBy(
-            F.lit("installment_bucket").alias("dimension_type"),
-            installment_bucket().alias("dimension_value"),
+    known = with_latest_review(known, reviews)
+
+    def group(dimension: str, value: Column, rows: Column) -> Column:
+        weight = F.lit(1).cast("bigint") if once_per_order else rows
+        return F.struct(
+            F.lit(dimension).alias("dimension_type"),
+            value.alias("dimension_value"),
+            weight.alias("weight"),
         )
-        .agg(*_payment_measures(F.lit(1) if once_per_order else F.col("payment_count")))
-    )
-    rows_per_type = (
-        payments.where(F.col("payment_type").isNotNull())
-        .groupBy("order_id", "payment_type")
-        .agg(F.count(F.lit(1)).alias("type_rows"))
+
+    has_bucket = F.col("max_installments").isNotNull()
+    buckets = F.array(group("installment_bucket", installment_bucket(), F.col("payment_count")))
+    types = F.transform(
+        F.filter("types", lambda t: t["payment_type"].isNotNull()),
+        lambda t: group("payment_type", t["payment_type"], t["type_rows"]),
     )
-    by_type = (
-        rows_per_type.join(known, "order_id")
-        .groupBy(
-            F.lit("payment_type").alias("dimension_type"),
-            F.col("payment_type").alias("dimension_value"),
+    groups = F.when(has_bucket, F.concat(buckets, types)).otherwise(types)
+    value, weight = F.coalesce("paid", F.lit(0).cast("decimal(20,2)")), F.col("weight")
+    return (
+        known.select(
+            "order_status", "review_score", value.alias("order_value"), F.inline(groups)
+        )
+        .groupBy("dimension_type", "dimension_value")
+        .agg(
+            F.count(F.lit(1)).alias("order_count"),
+            weighted_mean(F.col("order_value"), weight, 2).alias("avg_order_value"),
+            F.round(weighted_sum(F.col("order_value"), weight), 2).alias("total_revenue"),
+            weighted_mean(F.col("review_score"), weight, 2).alias("avg_review_score"),
+            percentage(F.col("order_status") == "canceled", 1, weight).alias(
+                "cancellation_rate_pct"
+            ),
         )
-        .agg(*_payment_measures(F.lit(1) if once_per_order else F.col("type_rows")))
     )
-    return by_bucket.unionByName(by_type)
 
 
 # ── RFM segmentation ─────────────────────────────────────────────────────────

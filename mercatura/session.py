@@ -61,3 +61,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staged_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete all tables this application has staged; frames over them end with it."""
+    drop_path(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")

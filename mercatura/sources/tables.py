@@ -10,13 +10,13 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from mercatura.session import stage
 from mercatura.sources.contracts import CONTRACTS, Contract
 from mercatura.sources.raw_csv import (
     PARTITION_COLUMNS,
     add_partition_columns,
     apply_contract,
     cast_timestamps,
-    drop_all_null,
     drop_partition_columns,
     observed_failures,
     read_csv,
@@ -81,19 +81,30 @@ class Processed(NamedTuple):
 
 
 def csv_to_parquet(spark: SparkSession, source: str, target: str, contract: Contract) -> Processed:
-    """Raw files to processed Parquet: repair, drop empty columns, partition by month."""
-    raw = require_rows(read_csv(spark, source, contract.multiline), source)
-    repaired, empty = drop_all_null(repair_columns(raw, contract))
+    """Raw files to processed Parquet: repair, drop empty columns, partition by month.
+
+    The files are parsed once: values per column are counted while the rows are
+    written. Only when a column turns out to be empty is the Parquet table,
+    much cheaper to read than the files, written again without it.
+    """
+    df = repair_columns(
+        require_rows(read_csv(spark, source, contract.multiline), source), contract
+    )
+    columns, parts = df.columns, ()
+    if contract.partition_by:
+        df, parts = add_partition_columns(df, contract.partition_by), PARTITION_COLUMNS
+    values = Observation()
+    counted = df.observe(values, *[F.count(F.col(c)).alias(c) for c in df.columns])
+    rows = write_table(counted, target, parts)
+    empty = [c for c in columns if values.get[c] == 0]
     if empty:
         logger.warning("%s: all-null columns dropped: %s", source, empty)
-    if not contract.partition_by:
-        return Processed(write_table(repaired, target), empty)
-    parted = add_partition_columns(repaired, contract.partition_by)
-    checked, seen = observed_failures(parted, [contract.partition_by])
-    rows = write_table(checked, target, PARTITION_COLUMNS)
-    unparsed = seen.get.get(f"unparsed_{contract.partition_by}", 0)
-    if unparsed:
-        logger.warning("%s: %s rows without a readable %s", source, unparsed, contract.partition_by)
+        kept = stage(spark.read.schema(df.schema).parquet(target).drop(*empty), "processed")
+        rows = write_table(kept, target, parts)
+    if contract.partition_by and contract.partition_by in columns:
+        unread = values.get[contract.partition_by] - values.get["partition_year"]
+        if unread:
+            logger.warning("%s: %s dates cannot be read", source, unread)
     return Processed(rows, empty)
 
 

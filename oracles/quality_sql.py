@@ -125,7 +125,7 @@ for _name in suites.SUITES:
 register(
     "dq_staging_tests",
     RESULT,
-    lambda m: run_suite(suites.STAGING_TESTS, lambda name: getattr(m, name)),
+    lambda m: run_suite(suites.STAGING_TESTS, lambda name: stage(getattr(m, name), name)),
     suite_sql(suites.STAGING_TESTS),
 )
 
