@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame
 from mercatura.operators import quality
 from mercatura.plans import suites
 from mercatura.plans.models import Models
-from mercatura.session import stage
+from mercatura.plans.testing import check_models, run_suite
 from oracles.duck import key
 from oracles.entries import register
 
@@ -99,17 +98,8 @@ def suite_sql(suite: dict[str, list[dict]]) -> str:
     )
 
 
-def run_suite(
-    suite: dict[str, list[dict]], table: Callable[[str], DataFrame], parents=None
-) -> DataFrame:
-    results = [
-        quality.run_checks(table(name), name, checks, parents) for name, checks in suite.items()
-    ]
-    return reduce(DataFrame.unionByName, results)
-
-
 def raw_results(m: Models) -> DataFrame:
-    return run_suite(suites.SUITES, lambda name: getattr(m.raw, name))
+    return run_suite(suites.SUITES, {name: getattr(m.raw, name) for name in suites.SUITES})
 
 
 for _name in suites.SUITES:
@@ -125,16 +115,14 @@ for _name in suites.SUITES:
 register(
     "dq_staging_tests",
     RESULT,
-    lambda m: run_suite(suites.STAGING_TESTS, lambda name: stage(getattr(m, name), name)),
+    lambda m: check_models(m, suites.STAGING_TESTS),
     suite_sql(suites.STAGING_TESTS),
 )
 
 
 def intermediate_results(m: Models) -> DataFrame:
     parents = {"stg_customers": m.stg_customers, "stg_sellers": m.stg_sellers}
-    return run_suite(
-        suites.INTERMEDIATE_TESTS, lambda name: stage(getattr(m, name), name), parents
-    )
+    return check_models(m, suites.INTERMEDIATE_TESTS, parents)
 
 
 register(
@@ -144,7 +132,7 @@ register(
 register(
     "dq_mart_tests",
     RESULT,
-    lambda m: run_suite(suites.MART_TESTS, lambda name: stage(getattr(m, name), name)),
+    lambda m: check_models(m, suites.MART_TESTS),
     suite_sql(suites.MART_TESTS),
 )
 
@@ -152,7 +140,9 @@ _LABELS = {"labels": [quality.relationship("doc_id", "documents", "doc_id")]}
 register(
     "dq_relationships",
     RESULT,
-    lambda m: run_suite(_LABELS, m.raw.source, {"documents": m.raw.source("documents")}),
+    lambda m: run_suite(
+        _LABELS, {"labels": m.raw.source("labels")}, {"documents": m.raw.source("documents")}
+    ),
     suite_sql(_LABELS),
 )
 
