@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def at(moment: dt.datetime) -> Column:
+    """A zone-less literal; the zone of neither Python nor the session matters."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def days_between(start: Column, end: Column) -> Column:
     """Midnights crossed from start to end; hours of the day do not matter."""
     return F.datediff(end, start)

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercatura.functions.calendar import at
+
 VALID_FROM, VALID_TO = "dbt_valid_from", "dbt_valid_to"
 
 
@@ -15,7 +17,7 @@ def first_snapshot(current: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """Every row opens at the run time."""
     return current.select(
         "*",
-        F.lit(run_ts).cast("timestamp_ntz").alias(VALID_FROM),
+        at(run_ts).alias(VALID_FROM),
         F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
     )
 
@@ -34,7 +36,7 @@ def apply_snapshot(
     only open rows meet the snapshot, in one full outer join that emits one or
     two rows per key.
     """
-    run = F.lit(run_ts).cast("timestamp_ntz")
+    run = at(run_ts)
     columns = current.columns
     still_open = F.col(VALID_TO).isNull()
     old = history.where(still_open).select(key, F.struct(*columns, VALID_FROM).alias("_old"))

@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercatura.functions.calendar import at
+
 ROW_COUNT = "expect_table_row_count_to_be_between"
 NOT_NULL = "expect_column_values_to_not_be_null"
 UNIQUE = "expect_column_values_to_be_unique"
@@ -190,8 +192,7 @@ def check_freshness(
 ) -> DataFrame:
     """Age of the newest row against two limits; ``now`` is an argument."""
     newest = df.agg(F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("max_loaded_at"))
-    now_column = F.lit(now).cast("timestamp_ntz")
-    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), now_column)
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), at(now))
     day = 24 * 60 * 60
     status = (
         F.when(age.isNull() | (age > error_after_days * day), "error")
@@ -213,7 +214,7 @@ def failures(results: DataFrame, run_time: dt.datetime) -> DataFrame:
     total = F.count(F.lit(1)).over(Window.partitionBy("table_name"))
     return failed.select(
         "table_name",
-        F.lit(run_time).cast("timestamp_ntz").alias("run_time"),
+        at(run_time).alias("run_time"),
         total.alias("total_failed"),
         "expectation_type",
         "kwargs",

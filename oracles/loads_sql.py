@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercatura.functions.calendar import at
 from mercatura.operators import history, upsert
 from mercatura.plans.models import Models
 from mercatura.session import staged_path
@@ -252,8 +253,8 @@ def _cut() -> dt.datetime:
 def first_orders(m: Models) -> DataFrame:
     """The table after a first run at the cut: the last ten days are not final."""
     placed = F.col("order_purchase_timestamp")
-    early = m.stg_orders.where(placed <= F.lit(_cut()))
-    stale = placed > F.lit(_cut() - dt.timedelta(days=10))
+    early = m.stg_orders.where(placed <= at(_cut()))
+    stale = placed > at(_cut() - dt.timedelta(days=10))
     return early.withColumn(
         "order_status", F.when(stale, "processing").otherwise(F.col("order_status"))
     )
@@ -319,7 +320,7 @@ register(
 def upserted_items(m: Models) -> DataFrame:
     """First run without the newest items and with a wrong price on all others."""
     ts = F.col("shipping_limit_date")
-    target = m.stg_order_items.where(ts <= F.lit(_cut())).withColumn(
+    target = m.stg_order_items.where(ts <= at(_cut())).withColumn(
         "price", F.lit(0).cast("decimal(10,2)")
     )
     batch = upsert.recent(m.stg_order_items, target, "shipping_limit_date")
@@ -343,7 +344,7 @@ REVIEW_CUT = "2024-01-20"
 
 def upserted_reviews(m: Models) -> DataFrame:
     created = F.col("review_creation_date")
-    cut = F.lit(dt.datetime.fromisoformat(REVIEW_CUT))
+    cut = at(dt.datetime.fromisoformat(REVIEW_CUT))
     target = m.stg_reviews.where(created <= cut).withColumn("review_score", F.lit(0))
     batch = upsert.recent(m.stg_reviews, target, "review_creation_date")
     return upsert.upsert(target, batch, ["review_key"])

@@ -4,6 +4,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from mercatura.plans.models import Models
 from mercatura.sources.marketplace import Marketplace
 from oracles.registry import REGISTRY
@@ -86,3 +88,55 @@ def test_filters_reach_the_scan(spark):
 def test_funnel_reads_orders_once(spark):
     plan = _plan(REGISTRY["anl_order_funnel"].run(spark, FOLDER))
     assert plan.count("FileScan") == 1 and "Expand" not in plan
+
+
+@pytest.fixture
+def small_skew(large):
+    """Partitions count as skewed from a few kilobytes on, as they would from 256 MB."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: large.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        large.conf.set(key, value)
+    yield large
+    for key, value in before.items():
+        large.conf.set(key, value)
+
+
+def _hot_items(spark):
+    """Items of which a third belong to one order, one product and one seller."""
+    items = spark.range(0, 60000, 1, 8)
+    hot = F.col("id") % 3 == 0
+    return items.select(
+        F.when(hot, 7).otherwise(F.col("id") % 1500).cast("bigint").alias("order_id"),
+        F.col("id").cast("int").alias("order_item_id"),
+        F.md5(F.col("id").cast("string")).alias("order_item_key"),
+        F.when(hot, 7).otherwise(F.col("id") % 200).cast("bigint").alias("product_id"),
+        F.when(hot, 7).otherwise(F.col("id") % 10).cast("bigint").alias("seller_id"),
+        F.lit(None).cast("timestamp_ntz").alias("shipping_limit_date"),
+        F.lit(10).cast("decimal(10,2)").alias("price"),
+        # No two alike: equal rows would compress to a partition that is not large.
+        (F.pmod(F.xxhash64("id"), F.lit(10**9)) / 100).cast("decimal(10,2)").alias("freight_value"),
+    )
+
+
+@pytest.mark.parametrize(
+    "model",
+    ["int_order_items_enriched", "int_delivery_analysis", "mart_delivery_analysis"],
+)
+def test_hot_keys_of_fact_joins_are_split(small_skew, model):
+    items = _hot_items(small_skew)
+    models = Models(Marketplace(small_skew, FOLDER), stg_order_items=items)
+    plan = _plan(getattr(models, model), executed=True).split("Initial Plan")[0]
+    assert "skew=true" in plan
+
+
+def test_hot_items_are_combined_before_the_order_join(large):
+    models = Models(Marketplace(large, FOLDER), stg_order_items=_hot_items(large))
+    plan = _plan(models.mart_category_performance)
+    join = plan.index("SortMergeJoin [order_id#")
+    assert "HashAggregate(keys=[order_id#" in plan[join:]
