@@ -199,7 +199,7 @@ def _stage(place: int, name: str) -> str:
 _STAGES = " union all ".join(_stage(i, s) for i, s in enumerate(analyses.FUNNEL_STAGES, start=1))
 register(
     "anl_order_funnel",
-    "stage_order i, stage_name s, stage_count i, prev_stage_count i, "
+    "stage_order i, stage_name s, stage_count i, prev_stage_count d, "
     "stage_over_stage_pct d, pct_of_top_funnel d",
     lambda m: analyses.order_funnel(m.stg_orders),
     f"""select stage_order, stage_name, stage_count, prev_stage_count,

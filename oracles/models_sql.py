@@ -86,8 +86,8 @@ register(
 register(
     "int_orders_enriched",
     f"order_id i, order_key s, customer_id i, order_status s, {ORDER_TIMES}, "
-    "delivery_delay_days i, is_on_time i, total_order_value d, max_installments i, "
-    "payment_count i, review_score i, review_creation_date t, customer_state s",
+    "delivery_delay_days d, is_on_time i, total_order_value d, max_installments d, "
+    "payment_count d, review_score d, review_creation_date t, customer_state s",
     lambda m: m.int_orders_enriched,
     f"select *, {key('order_id')} as order_key, value_c / 1e2 as total_order_value from x_orders",
 )

@@ -16,7 +16,7 @@ from oracles.entries import register
 
 RESULT = (
     "table_name s, check_no i, expectation_type s, column_name s, element_count i, "
-    "failed_rows i, observed_value d, success b"
+    "failed_rows d, observed_value d, success b"
 )
 
 SOURCES = {

@@ -80,7 +80,7 @@ left join m_customers c on o.customer_id = c.customer_id""",
 )
 register(
     "fact_orders",
-    "order_id i, order_key s, customer_key s, date_key s, order_status s, delivery_days i, "
+    "order_id i, order_key s, customer_key s, date_key s, order_status s, delivery_days d, "
     "estimated_delivery_days i, is_delivered_on_time b, order_purchase_timestamp t, "
     "order_delivered_customer_date t, order_estimated_delivery_date t",
     lambda m: star.fact_orders(m.stg_orders, m.stg_customers),
