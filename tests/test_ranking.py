@@ -51,7 +51,7 @@ def test_sequence_equals_window_with_a_hot_key_and_nulls(spark):
     # Key 0 holds a third of the rows; some keys and times are null.
     start = dt.datetime(2020, 1, 1)
     key = F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 11 == 1, None)
-    ts = F.when(F.col("id") % 17 != 5, F.lit(start) + F.make_dt_interval(F.col("id") * 7 % 40))
+    ts = F.when(F.col("id") % 17 != 5, F.lit(start) + F.make_dt_interval(F.col("id") * 7 % 40, F.col("id") * 5 % 24))
     df = spark.range(3000).select(
         "id", key.otherwise(F.col("id") % 50).alias("k"), ts.cast("timestamp_ntz").alias("ts")
     )
