@@ -57,8 +57,7 @@ def stg_products(products: DataFrame, category_translation: DataFrame) -> DataFr
         "product_height_cm": "height_cm",
         "product_width_cm": "width_cm",
     }
-    # The translation is a seed of about 70 rows, one per category name.
-    return products.join(F.broadcast(category_translation), "product_category_name", "left").select(
+    return products.join(category_translation, "product_category_name", "left").select(
         "product_id",
         surrogate_key("product_id").alias("product_key"),
         F.col("product_category_name").alias("category_name_pt"),

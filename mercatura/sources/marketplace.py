@@ -256,8 +256,8 @@ class Marketplace:
 
     @cached_property
     def category_translation(self) -> DataFrame:
-        # As literals: Spark knows the size, where it would take rows that come
-        # from Python for a table too large to broadcast.
+        # As literals: Spark sees the size and broadcasts it, where it would take
+        # rows that come from Python for a table of unknown size.
         names = ", ".join(f"'{name}'" for name in TRANSLATED_TYPES)
         return (
             self.spark.range(1)

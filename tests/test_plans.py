@@ -36,7 +36,7 @@ def _plan(df, executed=False):
 @pytest.mark.parametrize("name", LAZY)
 def test_no_single_task_and_no_all_pairs(large, name):
     plan = _plan(REGISTRY[name].run(large, FOLDER))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "CartesianProduct" not in plan and "Broadcast" not in plan
     if name != "dim_date":  # bounds of the calendar: a global minimum and maximum
         assert "SinglePartition" not in plan
 
