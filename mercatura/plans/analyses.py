@@ -250,7 +250,9 @@ def clv_by_cohort(
     if cohort_floor:
         in_cohort = F.sum("customer_count").over(Window.partitionBy("cohort_month"))
         summary = (
-            summary.withColumn("_size", in_cohort).where(F.col("_size") >= cohort_floor).drop("_size")
+            summary.withColumn("_size", in_cohort)
+            .where(F.col("_size") >= cohort_floor)
+            .drop("_size")
         )
     so_far = (
         Window.partitionBy("cohort_month")

@@ -96,7 +96,8 @@ def test_as_of_join_takes_the_version_of_the_moment(spark, versions):
         [(10, 2, R1 - day), (11, 2, R1), (12, 2, R2 - day), (13, 2, R2), (14, 99, R2)],
         "fact int, id int, ts timestamp_ntz",
     )
-    joined = history.as_of_join(facts, versions.select("id", "city", "dbt_valid_from", "dbt_valid_to"), "id", "ts")
+    cities = versions.select("id", "city", "dbt_valid_from", "dbt_valid_to")
+    joined = history.as_of_join(facts, cities, "id", "ts")
     assert {r.fact: r.city for r in joined.collect()} == {
         10: None, 11: "a", 12: "a", 13: "b", 14: None,
     }

@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from mercatura.session import staged_path
 from mercatura.sources import raw_csv, tables
 from mercatura.sources.contracts import CONTRACTS, Contract
 from mercatura.sources.seeds import load_translation
@@ -100,7 +99,8 @@ def test_partition_columns_with_fallbacks(spark):
 
 
 def test_timestamp_casts_count_only_present_values(spark):
-    df = spark.createDataFrame([("soon", None), ("2018-01-02 03:04:05", "n/a")], "a string, b string")
+    rows = [("soon", None), ("2018-01-02 03:04:05", "n/a")]
+    df = spark.createDataFrame(rows, "a string, b string")
     counts = raw_csv.timestamp_failures(df, ["a", "b", "absent"])
     assert {r.column_name: r.unparsed_rows for r in counts.collect()} == {"a": 1, "b": 1}
     cast = raw_csv.cast_timestamps(df, ["a", "absent"])
@@ -108,7 +108,9 @@ def test_timestamp_casts_count_only_present_values(spark):
 
 
 def test_contract_orders_types_drops_and_reports(spark):
-    df = spark.createDataFrame([("x", "1.50", "7", "1")], "extra string, price string, n string, id string")
+    df = spark.createDataFrame(
+        [("x", "1.50", "7", "1")], "extra string, price string, n string, id string"
+    )
     with pytest.raises(ValueError, match=r"missing: \['at'\]"):
         raw_csv.apply_contract(df, SMALL)
     typed = raw_csv.apply_contract(df, SMALL, all_null=["at"])
