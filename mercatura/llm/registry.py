@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, exact_dedup, licenses, mixing, sql
+from mercatura.llm import bpe, exact_dedup, licenses, mixing, secrets, sql
 from mercatura.llm.common import documents
 
 
@@ -15,6 +15,10 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.summary(licenses.scan(documents(spark, folder)))
 
 
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.summary(secrets.scan(documents(spark, folder)))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact_dedup.find_groups(documents(spark, folder))
     return groups.select(
@@ -33,7 +37,7 @@ def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op3_exact_dedup, op6_bpe, op7_mix_sources)
+    f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_exact_dedup, op6_bpe, op7_mix_sources)
 }
 
 SQL: dict[str, str] = {
