@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, exact_dedup, licenses, mixing, secrets, sql
+from mercatura.llm import bpe, exact_dedup, licenses, mixing, near_dedup, secrets, sql
 from mercatura.llm.common import documents
 
 
@@ -26,6 +26,10 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.find_groups(documents(spark, folder), words=2)
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(documents(spark, folder))
 
@@ -37,10 +41,11 @@ def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_exact_dedup, op6_bpe, op7_mix_sources)
+    f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_exact_dedup, op5_minhash_near_dedup, op6_bpe, op7_mix_sources)
 }
 
 SQL: dict[str, str] = {
     "op3_exact_dedup": sql.EXACT_DEDUP,
+    "op5_minhash_near_dedup": sql.NEAR_DEDUP,
     "op7_mix_sources": sql.MIX_SOURCES,
 }

@@ -49,3 +49,33 @@ SELECT doc_id, size, source_size, target,
                  + greatest(0, least(size, budget % source_size - earlier)) END AS bigint) AS taken
 FROM placed
 """
+
+NEAR_DEDUP = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, row_number() OVER () AS row_no,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+sets AS (
+  SELECT doc_id, row_no, CASE WHEN len(words) = 0 THEN []
+                      WHEN len(words) = 1 THEN words
+                      ELSE list_distinct([words[i] || ' ' || words[i + 1] for i in range(1, len(words))])
+                 END AS shingles
+  FROM worded),
+items AS (SELECT row_no, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS (
+  SELECT a.row_no AS u, b.row_no AS v
+  FROM items a JOIN items b ON a.shingle = b.shingle AND a.row_no < b.row_no
+       AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.row_no, b.row_no, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ways AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach(u, v) AS (
+  SELECT row_no, row_no FROM sets
+  UNION
+  SELECT reach.u, both_ways.v FROM reach JOIN both_ways ON reach.v = both_ways.u),
+named AS (SELECT u, min(doc_id) AS component_id FROM reach JOIN sets ON reach.v = sets.row_no GROUP BY u)
+SELECT doc_id, len(shingles) AS n_shingles, component_id,
+       doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM sets JOIN named ON sets.row_no = named.u
+"""
