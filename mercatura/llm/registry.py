@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, exact_dedup, licenses, mixing, near_dedup, secrets, sql
+from mercatura.llm import bpe, exact_dedup, licenses, mixing, near_dedup, secrets, sql, toxicity
 from mercatura.llm.common import documents
 
 
@@ -40,8 +40,20 @@ def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = toxicity.learn(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_exact_dedup, op5_minhash_near_dedup, op6_bpe, op7_mix_sources)
+    f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_exact_dedup, op5_minhash_near_dedup, op6_bpe, op7_mix_sources, op8_toxicity)
 }
 
 SQL: dict[str, str] = {
