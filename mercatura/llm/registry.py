@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, exact_dedup, licenses, mixing, near_dedup, secrets, sql, toxicity
+from mercatura.llm import bpe, exact_dedup, licenses, mixing, near_dedup, secrets, sql
+from mercatura.llm import substring_dedup, toxicity
 from mercatura.llm.common import documents
 
 
@@ -26,6 +27,10 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.digests(documents(spark, folder))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.find_groups(documents(spark, folder), words=2)
 
@@ -53,11 +58,12 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_exact_dedup, op5_minhash_near_dedup, op6_bpe, op7_mix_sources, op8_toxicity)
+    f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_exact_dedup, op4_substring_dedup, op5_minhash_near_dedup, op6_bpe, op7_mix_sources, op8_toxicity)
 }
 
 SQL: dict[str, str] = {
     "op3_exact_dedup": sql.EXACT_DEDUP,
+    "op4_substring_dedup": sql.SUBSTRING_DEDUP,
     "op5_minhash_near_dedup": sql.NEAR_DEDUP,
     "op7_mix_sources": sql.MIX_SOURCES,
 }

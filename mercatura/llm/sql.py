@@ -79,3 +79,26 @@ SELECT doc_id, len(shingles) AS n_shingles, component_id,
        doc_id IS NOT DISTINCT FROM component_id AS kept
 FROM sets JOIN named ON sets.row_no = named.u
 """
+
+SUBSTRING_DEDUP = r"""
+WITH worded AS (
+  SELECT doc_id, row_number() OVER () AS row_no,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+starts AS (
+  SELECT doc_id, row_no, words, unnest(range(1, len(words) - 11)) AS start FROM worded),
+windows AS (
+  SELECT doc_id, row_no, start, array_to_string(words[start:start + 12], ' ') AS passage
+  FROM starts),
+firsts AS (SELECT passage, min(doc_id) AS first_doc FROM windows GROUP BY passage),
+gone AS (
+  SELECT DISTINCT row_no, unnest(range(start, start + 13)) AS place
+  FROM windows JOIN firsts USING (passage) WHERE first_doc < doc_id),
+gone_lists AS (SELECT row_no, list(place) AS places FROM gone GROUP BY row_no)
+SELECT doc_id, cast(len(words) AS bigint) AS n_words,
+       cast(coalesce(len(places), 0) AS bigint) AS n_removed,
+       sha256(array_to_string(
+         [words[i] for i in range(1, len(words) + 1) if places IS NULL OR NOT list_contains(places, i)],
+         ' ')) AS kept_sha256
+FROM worded LEFT JOIN gone_lists USING (row_no)
+"""
