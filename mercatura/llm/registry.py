@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, exact_dedup, licenses, mixing, near_dedup, secrets, sql
+from mercatura.llm import bpe, exact_dedup, graph_index, licenses, mixing, near_dedup, secrets, sql
 from mercatura.llm import substring_dedup, toxicity
 from mercatura.llm.common import documents
 
@@ -57,8 +57,13 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_graph_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return graph_index.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_exact_dedup, op4_substring_dedup, op5_minhash_near_dedup, op6_bpe, op7_mix_sources, op8_toxicity)
+    f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_exact_dedup, op4_substring_dedup, op5_minhash_near_dedup, op6_bpe, op7_mix_sources, op8_toxicity, op9_graph_neighbours)
 }
 
 SQL: dict[str, str] = {
