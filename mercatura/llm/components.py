@@ -8,7 +8,9 @@ are joined, so that both sides of each join are shuffled and a hub's links can b
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercatura.llm.common import stage
@@ -51,3 +53,55 @@ def components(links: DataFrame) -> DataFrame:
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("label"))
     centres = now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     return nodes.unionByName(centres)
+
+
+def shared_buckets(buckets: DataFrame) -> DataFrame:
+    """The rows of ``buckets`` (key, node) whose key has several nodes, and its smallest one
+    as ``leader``."""
+    ends = buckets.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+    shared = stage(ends.where("leader < last").drop("last"), "buckets")
+    return stage(buckets.join(shared, "key"), "members")
+
+
+def link_members(
+    members: DataFrame,
+    marks: DataFrame,
+    close: Callable[[Column, Column], Column],
+    confirm: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """(node, label) of the linked nodes of ``members`` (key, node, leader).
+
+    ``marks`` (node, mark) has a mark of each node; a pair is looked at where ``close`` holds
+    for the marks, and linked where ``confirm``, given pairs (u, v), returns it.
+
+    First every member meets its leader. Then, in buckets whose members are still in
+    several components, pairs across components meet, which cannot miss a link that joins
+    two components. A bucket of copies takes one comparison per member.
+    """
+    stars = members.where("node <> leader").select("leader", "node").distinct()
+    stars = stars.join(marks.withColumnRenamed("mark", "mark_v"), "node").withColumnRenamed("node", "v")
+    stars = stars.join(marks, F.col("leader") == F.col("node"))
+    stars = stars.where(close(F.col("mark"), F.col("mark_v")))
+    stars = stage(stars.select(F.col("leader").alias("u"), "v"), "stars")
+    links = stage(confirm(stars), "links")
+    first = stage(components(links), "components")
+
+    labelled = members.join(first, "node", "left")
+    labelled = stage(labelled.select("key", "node", F.coalesce("label", "node").alias("label")), "labelled")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = stage(mixed.where("low < high").select("key"), "mixed")
+    apart = stage(labelled.join(mixed, "key").join(marks, "node"), "apart")
+    sides = [
+        apart.select(*[F.col(c).alias(f"{c}_{side}") for c in ("key", "node", "label", "mark")])
+        for side in ("u", "v")
+    ]
+    meets = (
+        (F.col("key_u") == F.col("key_v"))
+        & (F.col("label_u") < F.col("label_v"))
+        & close(F.col("mark_u"), F.col("mark_v"))
+    )
+    pairs = sides[0].join(sides[1], meets)
+    pairs = pairs.select(F.least("node_u", "node_v").alias("u"), F.greatest("node_u", "node_v").alias("v"))
+    pairs = stage(pairs.distinct().join(stars, ["u", "v"], "left_anti"), "pairs")
+    more = stage(confirm(pairs), "links")
+    return first if more.isEmpty() else stage(components(links.unionByName(more)), "components")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, exact_dedup, graph_index, licenses, mixing, near_dedup, secrets, sql
+from mercatura.llm import bpe, exact_dedup, graph_index, licenses, line_dedup, mixing, near_dedup, secrets, sql
 from mercatura.llm import substring_dedup, toxicity
 from mercatura.llm.common import documents
 
@@ -62,8 +62,13 @@ def op9_graph_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return graph_index.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
+def op10_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.kept_lines(documents(spark, folder))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_exact_dedup, op4_substring_dedup, op5_minhash_near_dedup, op6_bpe, op7_mix_sources, op8_toxicity, op9_graph_neighbours)
+    f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_exact_dedup, op4_substring_dedup, op5_minhash_near_dedup, op6_bpe, op7_mix_sources, op8_toxicity, op9_graph_neighbours, op10_fuzzy_line_dedup)
 }
 
 SQL: dict[str, str] = {
