@@ -6,14 +6,14 @@ under either. A window is a word (a long word gives several, overlapping), follo
 carrier phrase of the base that lets even short words be matched. The difference of its
 compressed lengths, ordinary less toxic, says how much better the toxic dictionary knows
 it. A text is described by how many windows reach each of a few thresholds and by its largest
-differences; a logistic curve fitted on labelled texts that trained no dictionary turns
+differences; a logistic curve, fitted on labelled texts that trained no dictionary, turns
 this into a score.
 
 The fit reads a bounded sample of labelled rows: at most ``SAMPLE`` rows of either label, in the order
 of a hash of their doc_id, and ``SAMPLE_CHARS`` characters of each. Scoring reads all texts
 whole, and needs nothing but the fitted model, about 60 KB.
 
-Defined results: a null or empty text has no windows and gets the score of such a text. Labels that
+Defined results: a null or empty text has no windows and score 0. Labels that
 are null, or of no document, are not used; a doc_id with several labels counts as toxic if one
 says so. Without a toxic or without an ordinary label in the sample, all scores are 0 or 1
 accordingly, and 0 without any label. Other columns are ignored or carried.
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercatura.llm.near_dedup import chunks
+from mercatura.llm.word_hash import chunks
 
 SAMPLE = {1: 1_500, 0: 4_500}
 SAMPLE_CHARS = 20_000
@@ -43,6 +43,8 @@ SUPPORT, LIFT = 0.003, 25
 """A passage is typical of toxic texts from this share of their lines, this many times as frequent as in others."""
 LEAST_LINES = 3
 GRAMS = (5, 6, 7, 8)
+SEGMENT = 24
+"""Bytes of the segments a dictionary is put together from: a word or two."""
 THRESHOLDS = (2, 3, 4, 5)
 WINDOW, OVERLAP = 48, 16
 KEPT_WORDS = 400_000
@@ -82,9 +84,11 @@ def _grams(word: bytes) -> set[bytes]:
 
 
 def _trained(size: int, samples: list[bytes]) -> bytes:
-    """The content of a dictionary trained on ``samples``; all of it where they are few."""
+    """The content of a dictionary trained on ``samples``, in random order, as the trainer takes
+    segments from all along them; all of it where they are few."""
+    samples = [samples[i] for i in np.random.default_rng(7).permutation(len(samples))]
     try:
-        made = zstandard.train_dictionary(size + 1024, samples, level=3).as_bytes()
+        made = zstandard.train_dictionary(size + 1024, samples, k=SEGMENT, d=6).as_bytes()
     except zstandard.ZstdError:
         made = b"".join(dict.fromkeys(samples))
     return made[-size:]
@@ -156,7 +160,8 @@ class Scorer:
     def scores(self, texts: pa.Array) -> np.ndarray:
         if self.model.constant is not None:
             return np.full(len(texts), self.model.constant)
-        return curve(self.features(texts), np.array(self.model.weights))
+        features = self.features(texts)
+        return np.where(features[:, -1] > 0, curve(features, np.array(self.model.weights)), 0.0)
 
 
 def curve(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -194,15 +199,11 @@ def _gram_counts(lines: list[list[bytes]], among: set[bytes] | None = None) -> C
     return counts
 
 
-def fit(toxic: list[str], ordinary: list[str]) -> Model:
-    """A model from texts of both labels. Two thirds train the dictionaries, the rest the curve."""
-    if not toxic or not ordinary:
-        return Model(b"", b"", b"", (), constant=1.0 if toxic else 0.0)
-    parts = [([t for i, t in enumerate(x) if i % 3], x[::3]) for x in (toxic, ordinary)]
-    (train_toxic, hold_toxic), (train_ordinary, hold_ordinary) = parts
-    ordinary_lines = _lines(train_ordinary)
+def _dictionaries(toxic: list[str], ordinary: list[str]) -> Model | None:
+    """Dictionaries from texts of both labels, or None where nothing tells them apart."""
+    ordinary_lines = _lines(ordinary)
     seen = {tuple(line) for line in ordinary_lines}
-    toxic_lines = [line for line in _lines(train_toxic) if tuple(line) not in seen]
+    toxic_lines = [line for line in _lines(toxic) if tuple(line) not in seen]
     counts = _gram_counts(toxic_lines)
     least = max(LEAST_LINES, SUPPORT * len(toxic_lines))
     counts = Counter({gram: n for gram, n in counts.items() if n >= least})
@@ -214,15 +215,28 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
     plain = [_spaced(w) for line in ordinary_lines for w in line if w not in marked]
     plain = [plain[i] for i in np.random.default_rng(7).permutation(len(plain))]
     if not passages or not plain:
-        return Model(b"", b"", b"", (), constant=0.0)
+        return None
     carrier = b"".join(plain[:CARRIER_WORDS])
     base = _trained(BASE_BYTES, plain[:TRAINING_WORDS]) + carrier
-    neutral = _trained(TOXIC_BYTES, plain[TRAINING_WORDS : 2 * TRAINING_WORDS] or plain)
-    model = Model(_trained(TOXIC_BYTES, passages) + base, neutral + base, carrier, ())
-    held = hold_toxic + hold_ordinary
-    labels = np.array([1.0] * len(hold_toxic) + [0.0] * len(hold_ordinary))
-    features = model.scorer().features(pa.array(held, pa.string()))
-    return Model(model.toxic, model.ordinary, carrier, _fit_curve(features, labels))
+    others = plain[TRAINING_WORDS : 2 * TRAINING_WORDS] or plain
+    neutral = _trained(TOXIC_BYTES, others)
+    toxic_part = _trained(TOXIC_BYTES, passages)
+    return Model(toxic_part + base, neutral + base, carrier, ())
+
+
+def fit(toxic: list[str], ordinary: list[str]) -> Model:
+    """A model from texts of both labels: two thirds train the dictionaries, the rest the curve.
+
+    The curve is fitted on differences under the very dictionaries that will score; other
+    dictionaries, of other texts, would not have the same thresholds.
+    """
+    trains = [[t for i, t in enumerate(x) if i % 3] for x in (toxic, ordinary)]
+    made = _dictionaries(*trains) if all(trains) else None
+    if made is None:
+        return Model(b"", b"", b"", (), constant=float(bool(toxic) and not ordinary))
+    held = toxic[::3] + ordinary[::3]
+    labels = np.array([1.0] * len(toxic[::3]) + [0.0] * len(ordinary[::3]))
+    return replace(made, weights=_fit_curve(made.scorer().features(pa.array(held)), labels))
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
