@@ -56,11 +56,12 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def shared_buckets(buckets: DataFrame) -> DataFrame:
-    """The rows of ``buckets`` (key, node) whose key has several nodes, and its smallest one
-    as ``leader``."""
-    ends = buckets.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-    shared = stage(ends.where("leader < last").drop("last"), "buckets")
-    return stage(buckets.join(shared, "key"), "members")
+    """The rows of ``buckets`` (key, node) whose key has several nodes, and one of these as
+    ``leader``: the least of node XOR key, so that a node meets another leader in each bucket."""
+    place = F.col("node").bitwiseXOR(F.col("key"))
+    ends = buckets.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    shared = ends.where("low < high").select("key", F.col("low").bitwiseXOR(F.col("key")).alias("leader"))
+    return stage(buckets.join(stage(shared, "buckets"), "key"), "members")
 
 
 def link_members(
@@ -68,6 +69,8 @@ def link_members(
     marks: DataFrame,
     close: Callable[[Column, Column], Column],
     confirm: Callable[[DataFrame], DataFrame],
+    refined: Callable[[DataFrame], DataFrame] | None = None,
+    close_refined: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """(node, label) of the linked nodes of ``members`` (key, node, leader).
 
@@ -76,7 +79,8 @@ def link_members(
 
     First every member meets its leader. Then, in buckets whose members are still in
     several components, pairs across components meet, which cannot miss a link that joins
-    two components. A bucket of copies takes one comparison per member.
+    two components. A bucket of copies takes one comparison per member. For that second
+    step, ``refined`` may give the nodes that are left marks of another kind.
     """
     stars = members.where("node <> leader").select("leader", "node").distinct()
     stars = stars.join(marks.withColumnRenamed("mark", "mark_v"), "node").withColumnRenamed("node", "v")
@@ -90,18 +94,24 @@ def link_members(
     labelled = stage(labelled.select("key", "node", F.coalesce("label", "node").alias("label")), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = stage(mixed.where("low < high").select("key"), "mixed")
-    apart = stage(labelled.join(mixed, "key").join(marks, "node"), "apart")
+    apart = stage(labelled.join(mixed, "key"), "apart")
+    if refined is not None:
+        marks, close = stage(refined(apart.select("node").distinct()), "marks"), close_refined
+    homes = apart.groupBy("node").agg(F.collect_list("key").alias("homes"))
+    apart = stage(apart.join(marks, "node").join(homes, "node"), "apart")
     sides = [
-        apart.select(*[F.col(c).alias(f"{c}_{side}") for c in ("key", "node", "label", "mark")])
+        apart.select(*[F.col(c).alias(f"{c}_{side}") for c in apart.columns])
         for side in ("u", "v")
     ]
     meets = (
         (F.col("key_u") == F.col("key_v"))
         & (F.col("label_u") < F.col("label_v"))
         & close(F.col("mark_u"), F.col("mark_v"))
+        # Once, in the smallest key they share.
+        & (F.col("key_u") == F.array_min(F.array_intersect("homes_u", "homes_v")))
     )
     pairs = sides[0].join(sides[1], meets)
     pairs = pairs.select(F.least("node_u", "node_v").alias("u"), F.greatest("node_u", "node_v").alias("v"))
-    pairs = stage(pairs.distinct().join(stars, ["u", "v"], "left_anti"), "pairs")
+    pairs = stage(pairs.join(stars, ["u", "v"], "left_anti"), "pairs")
     more = stage(confirm(pairs), "links")
     return first if more.isEmpty() else stage(components(links.unionByName(more)), "components")

@@ -6,10 +6,10 @@ are also folded into an odd sketch, a bitmap of parities: the bits in which two
 differ estimate the similarity, most precisely where it is high, and most false candidates
 end there. Pairs that pass are compared on their full sets.
 
-A bucket is not expanded into all its pairs. First every member meets the smallest node of
-its bucket. The links so found join most members of a large group. Only where members of one
-bucket are still in different components, the pairs across components meet too, again
-behind their sketches. So no link that would join two components is skipped, and groups of
+A bucket is not expanded into all its pairs. First every member meets one node of its
+bucket, another one in each bucket. The links so found join most members of a large group. Only where members of one
+bucket are still in different components, the pairs across components meet too, behind
+sketches of many more samples. So no link that would join two components is skipped, and groups of
 copies of any size cost about one comparison per member and band.
 
 With 48 bands of 6 samples a pair of similarity 0.8 has no common bucket with a probability of
@@ -24,72 +24,47 @@ component names it, null ones aside. Other columns are ignored or carried.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercatura.llm.common import free_name, stage
-from mercatura.llm.components import components
+from mercatura.llm.components import link_members, shared_buckets
+from mercatura.llm.word_hash import chunks, mix, word_hashes
 
 WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 48, 6
-SAMPLES = BANDS * ROWS
-SKETCH_BITS = 1024
-SLACK = 0.15
-"""How far below the wanted similarity a sketch's estimate may fall."""
-CHUNK_BYTES = 6_000_000
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_FOLD = np.uint64(0xBF58476D1CE4E5B9)
-
-
-def _constants() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(20240229)
-    factors = rng.integers(0, 2**32, SAMPLES, dtype=np.uint32) | np.uint32(1)
-    return factors, rng.integers(0, 2**32, SAMPLES, dtype=np.uint32)
 
+class Sketch(NamedTuple):
+    """An odd sketch: samples folded, bits, and how far below the wanted similarity its
+    estimate may fall (six standard deviations or more)."""
 
-_FACTORS, _SHIFTS = _constants()
+    samples: int
+    bits: int
+    slack: float
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * _FOLD
-    return x ^ (x >> np.uint64(29))
+COARSE = Sketch(BANDS * ROWS, 1024, 0.15)
+"""Of every set, from the samples of its bands."""
+FINE = Sketch(4096, 8192, 0.045)
+"""Of sets that are in a bucket of several components."""
 
-
-def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[pa.Array]:
-    """Slices of about ``most`` bytes, never less than one whole text."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(sizes, dtype=np.int64)
-    start = 0
-    while start < len(texts):
-        base = ends[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(ends, base + most, "right")))
-        yield texts.slice(start, end - start)
-        start = end
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of the texts, and where each text's words start and end."""
-    texts = pc.fill_null(texts, "")
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
-    words = split.flatten().dictionary_encode()
-    listed = words.dictionary.cast(pa.binary()).to_pylist()
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, listed), np.uint64, len(listed))
-    found = hashes[words.indices.to_numpy()] if len(listed) else np.empty(0, np.uint64)
-    lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
-    if b"" in listed:  # white space at either end
-        real = words.indices.to_numpy() != listed.index(b"")
-        of_text = np.repeat(np.arange(len(lengths)), lengths)
-        lengths = np.bincount(of_text[real], minlength=len(lengths))
-        found = found[real]
-    return found, np.concatenate([[0], np.cumsum(lengths)])
+@cache
+def _constants(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and shifts of ``count`` hash functions."""
+    rng = np.random.default_rng(count)
+    factors = rng.integers(0, 2**32, count, dtype=np.uint32) | np.uint32(1)
+    return factors, rng.integers(0, 2**32, count, dtype=np.uint32)
 
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
@@ -97,9 +72,9 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     sets: list[np.ndarray] = []
     for part in chunks(texts):
         hashes, bounds = word_hashes(part)
-        rolled = _mix(hashes)
+        rolled = mix(hashes)
         for shift in range(1, words):
-            rolled = _mix(rolled[:-1] * _ODD + hashes[shift:]) if len(rolled) else rolled
+            rolled = mix(rolled[:-1] * _ODD + hashes[shift:]) if len(rolled) else rolled
         for start, end in zip(bounds[:-1], bounds[1:]):
             if end - start >= words:
                 sets.append(np.unique(rolled[start : end - words + 1]))
@@ -111,14 +86,15 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     return sets
 
 
-def samples(sets: list[np.ndarray]) -> np.ndarray:
+def samples(sets: list[np.ndarray], count: int = COARSE.samples) -> np.ndarray:
     """MinHash samples of non-empty sets, one row per set."""
+    factors, shifts = _constants(count)
     sizes = np.array([len(s) for s in sets])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((SAMPLES, len(sets)), np.uint32)
-    for i in range(SAMPLES):
-        out[i] = np.minimum.reduceat(flat * _FACTORS[i] + _SHIFTS[i], starts)
+    out = np.empty((count, len(sets)), np.uint32)
+    for i in range(count):
+        out[i] = np.minimum.reduceat(flat * factors[i] + shifts[i], starts)
     return out.T
 
 
@@ -127,27 +103,44 @@ def band_keys(sampled: np.ndarray) -> np.ndarray:
     grouped = sampled.reshape(len(sampled), BANDS, ROWS).astype(np.uint64)
     keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), grouped.shape[:2])
     for row in range(ROWS):
-        keys = _mix(keys * _ODD + grouped[:, :, row])
+        keys = mix(keys * _ODD + grouped[:, :, row])
     return keys.view(np.int64)
 
 
-def odd_sketches(sampled: np.ndarray) -> np.ndarray:
+def odd_sketches(sampled: np.ndarray, bits: int = COARSE.bits) -> np.ndarray:
     """Parities of the samples' places in a bitmap: one row of 64-bit words per set."""
-    numbered = sampled.astype(np.uint64) | (np.arange(SAMPLES, dtype=np.uint64) << np.uint64(32))
-    places = (_mix(numbered * _ODD) >> np.uint64(20)) % np.uint64(SKETCH_BITS)
-    at = places.astype(np.int64) + np.arange(len(sampled))[:, None] * SKETCH_BITS
-    parity = np.bincount(at.ravel(), minlength=len(sampled) * SKETCH_BITS) & 1
+    count = sampled.shape[1]
+    numbered = sampled.astype(np.uint64) | (np.arange(count, dtype=np.uint64) << np.uint64(32))
+    places = (mix(numbered * _ODD) >> np.uint64(20)) % np.uint64(bits)
+    at = places.astype(np.int64) + np.arange(len(sampled))[:, None] * bits
+    parity = np.bincount(at.ravel(), minlength=len(sampled) * bits) & 1
     return np.packbits(parity.astype(np.uint8).reshape(len(sampled), -1), axis=1).view(np.int64)
 
 
-def most_differing(percent: int, slack: float = SLACK) -> int:
+def most_differing(percent: int, kind: Sketch = COARSE) -> int:
     """The number of differing sketch bits at the least similarity let through.
 
     The estimate of similarity from d differing bits of n, with k samples, is
     1 + n / 4k * ln(1 - 2d / n).
     """
-    least = percent / 100 - slack
-    return int(SKETCH_BITS / 2 * (1 - np.exp((least - 1) * 4 * SAMPLES / SKETCH_BITS))) + 1
+    least = percent / 100 - kind.slack
+    return int(kind.bits / 2 * (1 - np.exp((least - 1) * 4 * kind.samples / kind.bits))) + 1
+
+
+def fine_marks(texts: DataFrame, words: int) -> DataFrame:
+    """(node, mark) of ``texts`` (node, text): the fine sketch of each set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for part in chunks(batch.column(1), 500_000):
+                sampled = samples(shingle_sets(part, words), FINE.samples)
+                marks = _lists(odd_sketches(sampled, FINE.bits))
+                nodes = batch.column(0).slice(done, len(part))
+                done += len(part)
+                yield pa.RecordBatch.from_arrays([nodes, marks], ["node", "mark"])
+
+    return texts.select("node", "text").mapInArrow(run, "node bigint, mark array<bigint>")
 
 
 def set_digest(hashes: np.ndarray) -> bytes | None:
@@ -235,14 +228,6 @@ def _differing(a: Column, b: Column) -> Column:
     return F.aggregate(counted, F.lit(0), lambda total, n: total + n)
 
 
-def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Confirmed pairs among ``pairs`` (u, v); ``texts`` is (node, text)."""
-    for side in ("u", "v"):
-        named = texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
-        pairs = pairs.join(named, side)
-    return stage(confirm(pairs, words, percent), "links")
-
-
 def find_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id of its group)
     and kept (whether it is that document)."""
@@ -252,49 +237,25 @@ def find_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
         distinct.select(F.monotonically_increasing_id().alias("node"), "digest", "bands", "sketch"),
         "nodes",
     )
-    close = most_differing(percent)
-    bucketed = nodes.select("node", F.explode("bands").alias("key"))
-    shared = bucketed.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-    shared = stage(shared.where("leader < last"), "buckets")
-    members = stage(bucketed.join(shared.select("key", "leader"), "key"), "members")
-
-    # Every member and the smallest node of its bucket, where their sketches are close.
-    sketches = nodes.select("node", "sketch")
-    stars = members.where("node <> leader").select("leader", "node").distinct()
-    stars = stars.join(sketches, "node").withColumnRenamed("sketch", "sketch_v")
-    stars = stars.withColumnRenamed("node", "v").join(sketches, F.col("leader") == F.col("node"))
-    stars = stars.where(_differing(F.col("sketch"), F.col("sketch_v")) <= close)
-    stars = stage(stars.select(F.col("leader").alias("u"), "v"), "stars")
-    linked = stars.select(F.explode(F.array("u", "v")).alias("node"))
-    needed = linked.unionByName(members.select("node")).distinct().join(nodes.select("node", "digest"), "node")
+    members = shared_buckets(nodes.select(F.explode("bands").alias("key"), "node"))
+    needed = members.select("node").distinct().join(nodes.select("node", "digest"), "node")
     texts = stage(set_texts(docs, words).join(needed, "digest").select("node", "text"), "texts")
-    links = _links(stars, texts, words, percent)
-    joined = stage(components(links), "components")
 
-    # Pairs of a bucket that are still apart, where their sketches are close.
-    labelled = members.join(joined, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label")
-    )
-    labelled = stage(labelled, "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = stage(mixed.where("low < high").select("key"), "mixed")
-    apart = labelled.join(mixed, "key").join(sketches, "node")
-    apart = stage(apart, "apart")
-    left = apart.select("key", F.col("node").alias("u"), F.col("label").alias("label_u"), F.col("sketch").alias("sketch_u"))
-    right = apart.select(F.col("key").alias("key_v"), F.col("node").alias("v"), F.col("label").alias("label_v"), F.col("sketch").alias("sketch_v"))
-    meets = (
-        (F.col("key") == F.col("key_v"))
-        & (F.col("label_u") < F.col("label_v"))
-        & (_differing(F.col("sketch_u"), F.col("sketch_v")) <= close)
-    )
-    rest = left.join(right, meets).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    rest = stage(rest.distinct().join(stars, ["u", "v"], "left_anti"), "rest")
-    more = _links(rest, texts, words, percent)
-    if more.isEmpty():
-        final = joined
-    else:
-        final = stage(components(links.unionByName(more)), "components")
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        for side in ("u", "v"):
+            named = texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
+            pairs = pairs.join(named, side)
+        return confirm(pairs, words, percent)
+
+    def close(kind: Sketch) -> Callable[[Column, Column], Column]:
+        most = most_differing(percent, kind)
+        return lambda a, b: _differing(a, b) <= most
+
+    def refined(apart: DataFrame) -> DataFrame:
+        return fine_marks(texts.join(apart, "node"), words)
 
+    coarse = nodes.select("node", F.col("sketch").alias("mark"))
+    final = link_members(members, coarse, close(COARSE), confirmed, refined, close(FINE))
     by_digest = nodes.join(final, "node").select("digest", "label")
     rows = sketched.select("doc_id", "n_shingles", "digest").join(by_digest, "digest", "left")
     lone = F.when(F.col("label").isNull(), F.col("digest"))
