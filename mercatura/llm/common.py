@@ -35,6 +35,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
         return session.stage(df, label)
 
 
+def drop_staged_table(staged: DataFrame) -> None:
+    """Deletes the files of a staged table that nothing reads any more."""
+    folders = {file.rsplit("/", 1)[0] for file in staged.inputFiles()}
+    for folder in folders:
+        session.drop_path(staged.sparkSession, folder)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or with underscores appended until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -29,14 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercatura.llm.common import stage
-from mercatura.llm.near_dedup import chunks, word_hashes
+from mercatura.llm.common import drop_staged_table, stage
+from mercatura.llm.word_hash import chunks, mix, word_hashes
 
 LENGTH = 13
 SEED = 7
 
 _FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-_FOLD = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def rolled(hashes: np.ndarray, words: int, factor: np.uint64) -> np.ndarray:
@@ -47,8 +46,7 @@ def rolled(hashes: np.ndarray, words: int, factor: np.uint64) -> np.ndarray:
     out = np.zeros(count, np.uint64)
     for shift in range(words):
         out = out * factor + hashes[shift : shift + count]
-    out = (out ^ (out >> np.uint64(31))) * _FOLD
-    return out ^ (out >> np.uint64(29))
+    return mix(out)
 
 
 class Windows:
@@ -78,21 +76,22 @@ def _flat(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def _anchors(docs: DataFrame, length: int, seed: int) -> DataFrame:
-    """(doc_id, anchor): the distinct anchors of each document."""
+    """(doc_id, anchors): the distinct anchors of each document that has any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for part in chunks(batch.column(1), 2_000_000):
+            for part in chunks(batch.column(1)):
                 found = [np.unique(Windows(h, length, seed).anchor) for h in _each_text(part)]
-                ids = batch.column(0).slice(done, len(found))
-                of_doc = np.repeat(np.arange(len(found)), [len(a) for a in found])
-                done += len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(of_doc)), _flat(found, pa.int64())], ["doc_id", "anchor"]
+                ends = np.cumsum([0, *map(len, found)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _flat(found, pa.int64()))
+                rows = pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(done, len(found)), lists], ["doc_id", "anchors"]
                 )
+                done += len(found)
+                yield rows.filter(pa.array(np.diff(ends) > 0))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, anchor bigint")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, anchors array<bigint>")
 
 
 def _seeded_windows(docs: DataFrame, length: int, seed: int) -> DataFrame:
@@ -101,7 +100,7 @@ def _seeded_windows(docs: DataFrame, length: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for part in chunks(batch.column(1), 2_000_000):
+            for part in chunks(batch.column(1)):
                 firsts, seconds, sizes = [], [], []
                 for at, hashes in enumerate(_each_text(part), done):
                     windows = Windows(hashes, length, seed)
@@ -137,15 +136,19 @@ def _shared(rows: DataFrame, *keys: str) -> DataFrame:
 def earlier_windows(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """(doc_id, windows): hashes of the document's windows that an earlier document has."""
     named = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    anchors = stage(_shared(_anchors(named, length, seed), "anchor"), "anchors").drop("low")
-    seeds = _anchors(named, length, seed).join(anchors, "anchor")
-    seeds = seeds.groupBy(F.col("doc_id").alias("seed_id")).agg(F.collect_set("anchor").alias("anchors"))
-    seeds = stage(seeds, "seeds")
+    anchored = stage(_anchors(named, length, seed), "anchored")
+    anchors = anchored.select("doc_id", F.explode("anchors").alias("anchor"))
+    shared = stage(_shared(anchors, "anchor").drop("low"), "anchors")
+    seeds = anchors.join(shared, "anchor").groupBy(F.col("doc_id").alias("seed_id"))
+    seeds = stage(seeds.agg(F.collect_set("anchor").alias("anchors")), "seeds")
+    drop_staged_table(anchored)
     seeded = named.join(seeds, F.col("doc_id") == F.col("seed_id"))
     windows = stage(_seeded_windows(seeded, length, seed), "windows")
     firsts = stage(_shared(windows, "first", "second"), "first-documents")
     hits = windows.join(firsts, ["first", "second"]).where("doc_id > low")
-    return stage(hits.groupBy("doc_id").agg(F.collect_set("first").alias("windows")), "hits")
+    hits = stage(hits.groupBy("doc_id").agg(F.collect_set("first").alias("windows")), "hits")
+    drop_staged_table(windows)
+    return hits
 
 
 def _with_windows(docs: DataFrame, length: int, seed: int) -> DataFrame:
