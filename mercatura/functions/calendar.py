@@ -34,7 +34,8 @@ def month_label(ts: Column) -> Column:
 
 
 def parse_timestamp(text: Column) -> Column:
-    """'yyyy-MM-dd HH:mm:ss' first, any ISO form second, null when neither fits."""
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(text)
-    ).cast("timestamp_ntz")
+    """'yyyy-MM-dd HH:mm:ss' or another ISO form, null when it is neither.
+
+    Read without a zone from the start, so the zone of the session never shifts a value.
+    """
+    return text.try_cast("timestamp_ntz")

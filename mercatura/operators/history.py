@@ -13,6 +13,22 @@ from mercatura.functions.calendar import at
 VALID_FROM, VALID_TO = "dbt_valid_from", "dbt_valid_to"
 
 
+class SnapshotKeyError(ValueError):
+    """A snapshot has rows without a key, or several with the same one."""
+
+
+def require_snapshot_key(current: DataFrame, key: str) -> DataFrame:
+    """``current`` if its key is filled and unique; such rows would multiply with every run."""
+    per_key = current.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    bad = per_key.agg(
+        F.sum(F.when(F.col(key).isNull(), F.col("n")).otherwise(0)).alias("nulls"),
+        F.count(F.when(F.col(key).isNotNull() & (F.col("n") > 1), 1)).alias("repeated"),
+    ).first()
+    if bad.nulls or bad.repeated:
+        raise SnapshotKeyError(f"{key}: {bad.nulls} rows without it, {bad.repeated} keys repeated")
+    return current
+
+
 def first_snapshot(current: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """Every row opens at the run time."""
     return current.select(

@@ -79,38 +79,30 @@ def sequence_per_key(
 ) -> DataFrame:
     """Number the rows of each key by (ts, id) and add the key's first ts.
 
-    A key's rows are windowed by hour, not as one group: the number within the
-    hour plus the rows of the key's earlier hours is the number within the key.
-    The second step only sees one row per key and hour, so a key that holds a
-    third of the table costs the hours it was active (88,000 in ten years), not
-    its rows.
-
-    The result has the columns id, key, ts, sequence and first_ts only: with no
-    other column to carry, both uses of the hourly windows read the same shuffle.
+    The rows are sorted globally by (key, ts, id), so the rows of one key, even those of one
+    instant, spread over as many partitions as they need, and staged with their place. A
+    row's number is its place among the key's rows of its partition plus the
+    key's rows in the partitions before: one row per key and partition is all that meets.
+
+    The result has the columns id, key, ts, sequence and first_ts only.
     """
-    # Structs compare null-safe, so rows without a key or a time stay in.
-    hour = F.struct(F.col(key).alias("key"), F.to_date(ts).alias("day"), F.hour(ts).alias("hour"))
-    slices = df.select(id_column, ts, hour.alias("_slice"))
-    in_slice = Window.partitionBy("_slice").orderBy(
-        F.col(ts).asc_nulls_last(), F.col(id_column).asc_nulls_last()
-    )
-    numbered = slices.withColumn("_n", F.row_number().over(in_slice))
-    per_slice = numbered.groupBy("_slice").agg(
-        F.max("_n").cast("bigint").alias("_size"), F.min(ts).alias("_first")
+    placed = df.select(id_column, key, ts).orderBy(
+        F.col(key), F.col(ts).asc_nulls_last(), F.col(id_column).asc_nulls_last()
     )
-    in_key = Window.partitionBy(F.col("_slice.key"))
-    so_far = in_key.orderBy(
-        F.col("_slice.day").asc_nulls_last(), F.col("_slice.hour").asc_nulls_last()
+    placed = stage(placed.withColumn("_at", F.monotonically_increasing_id()), "sequenced")
+    # Structs compare null-safe, so rows without a key stay in.
+    run = F.struct(F.shiftright("_at", _ROW_BITS).alias("part"), F.col(key).alias("key"))
+    placed = placed.withColumn("_run", run)
+    runs = placed.groupBy("_run").agg(
+        F.count(F.lit(1)).alias("_size"), F.min("_at").alias("_start"), F.min(ts).alias("_first")
     )
-    carried = per_slice.select(
-        "_slice",
-        (F.sum("_size").over(so_far) - F.col("_size")).alias("_before"),
+    in_key = Window.partitionBy(F.col("_run.key"))
+    so_far = in_key.orderBy("_run.part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = runs.select(
+        "_run",
+        (F.col("_start") - F.coalesce(F.sum("_size").over(so_far), F.lit(0))).alias("_zero"),
         F.min("_first").over(in_key).alias(first_ts),
     )
-    return numbered.join(carried, "_slice").select(
-        id_column,
-        F.col("_slice.key").alias(key),
-        ts,
-        (F.col("_before") + F.col("_n")).alias(sequence),
-        first_ts,
+    return placed.join(carried, "_run").select(
+        id_column, key, ts, (F.col("_at") - F.col("_zero") + 1).alias(sequence), first_ts
     )

@@ -8,18 +8,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from mercatura.operators.dedupe import first_per_key
 from mercatura.session import drop_path, path_exists, stage
 
 
 def recent(source: DataFrame, target: DataFrame, ts: str, lookback_days: int = 3) -> DataFrame:
     """Rows of ``source`` no older than the newest target row minus the lookback.
 
-    An empty target has no newest row, so the first run takes everything. The
-    bound is a scalar subquery: it is computed once and filters the scan.
+    An empty target has no newest row, so the first run takes everything. Rows without
+    a time are always taken: nothing tells that they are old. The bound is a scalar
+    subquery: it is computed once and filters the scan.
     """
     newest = target.agg(F.max(ts).alias("newest")).scalar()
     bound = newest - F.make_dt_interval(F.lit(lookback_days))
-    return source.where(newest.isNull() | (F.col(ts).cast("timestamp_ntz") >= bound))
+    late = F.col(ts).cast("timestamp_ntz") < bound
+    return source.where(newest.isNull() | F.col(ts).isNull() | ~late)
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -57,21 +60,31 @@ def upsert_partitions(
     keys: Sequence[str],
     partition_columns: Sequence[str],
     keys_move: bool = True,
+    newest_first: Sequence[Column] = (),
 ) -> None:
     """Merge ``batch`` into the partitioned Parquet table at ``path``.
 
+    A batch row replaces the stored row of its key; with ``newest_first``, only if it
+    comes before the stored one in that order.
+
     Only partitions that hold a batch row, or an older copy of one, are read in
     full and written again; finding the older copies reads nothing but the keys,
     and ``keys_move=False`` skips it where a key never changes its partition. The
-    merged partitions are staged before any file of the table is replaced, so a
-    lost executor or a failed write can be repeated from the staged rows.
+    merged partitions are staged before any file of the table is replaced, and Spark
+    replaces files only when all of them are written, so until that last step a lost
+    executor or a failed write leaves the table as it was. Rows are rebalanced by partition,
+    which keeps the number of files near that of the partitions.
     """
     if not path_exists(spark, path):
-        batch.write.partitionBy(*partition_columns).parquet(path)
+        by_partition = batch.hint("rebalance", *partition_columns)
+        by_partition.write.partitionBy(*partition_columns).parquet(path)
         return
     batch = stage(batch, "batch")
     # With the batch's schema, folder names such as '08' stay text.
     target = spark.read.schema(batch.schema).parquet(path)
+    if newest_first:
+        stored = target.join(batch.select(*keys), list(keys), "left_semi")
+        batch = stage(first_per_key(stored.unionByName(batch), keys, newest_first), "batch")
     places = batch.select(*partition_columns)
     if keys_move:
         older = target.join(batch.select(*keys), list(keys), "left_semi")
@@ -81,7 +94,8 @@ def upsert_partitions(
         return
     merged = stage(upsert(target.where(_in_partitions(touched)), batch, keys), "merged")
     (
-        merged.write.mode("overwrite")
+        merged.hint("rebalance", *partition_columns)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_columns)
         .parquet(path)
@@ -93,11 +107,21 @@ def upsert_partitions(
 
 
 def _in_partitions(rows: Sequence[Row]) -> Column:
-    def one(row: Row) -> Column:
-        tests = [F.col(c).eqNullSafe(F.lit(value)) for c, value in row.asDict().items()]
-        return reduce(lambda a, b: a & b, tests)
-
-    return reduce(lambda a, b: a | b, map(one, rows))
+    """Whether a row lies in one of the partitions; flat lists of values, however many."""
+    by_rest: dict[tuple, list] = {}
+    for row in rows:
+        *rest, last = row
+        by_rest.setdefault(tuple(rest), []).append(last)
+    *others, name = rows[0].asDict()
+    tests = []
+    for rest, values in by_rest.items():
+        test = F.col(name).isin([v for v in values if v is not None])
+        if None in values:
+            test = F.coalesce(test, F.lit(False)) | F.col(name).isNull()
+        for column, value in zip(others, rest):
+            test = test & F.col(column).eqNullSafe(F.lit(value))
+        tests.append(test)
+    return reduce(lambda a, b: a | b, tests)
 
 
 def _partition_path(path: str, row: Row) -> str:

@@ -9,13 +9,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.operators.history import apply_snapshot, first_snapshot
+from mercatura.operators.history import apply_snapshot, first_snapshot, require_snapshot_key
 from mercatura.operators.quality import append_failures, check_freshness, failures, require_passed
 from mercatura.operators.upsert import recent, upsert_partitions
-from mercatura.plans import suites
+from mercatura.plans import staging, suites
 from mercatura.plans.models import Models
-from mercatura.plans.testing import run_suite
-from mercatura.session import path_exists, stage
+from mercatura.plans.testing import check_models, run_suite
+from mercatura.session import drop_staged, path_exists, recover
 from mercatura.sources.contracts import CONTRACTS, Contract
 from mercatura.sources.marketplace import RawTables
 from mercatura.sources.raw_csv import apply_contract, cast_timestamps
@@ -28,14 +28,14 @@ from mercatura.sources.tables import (
     write_table,
 )
 
-# Incremental staging models: merge keys and the column the lookback goes by.
+# Fixed values. Incremental staging models: merge keys and the column the lookback goes by.
 INCREMENTAL = {
     "stg_orders": (["order_key"], "order_purchase_timestamp"),
     "stg_order_items": (["order_id", "order_item_id"], "shipping_limit_date"),
     "stg_reviews": (["review_key"], "review_creation_date"),
 }
 
-# Snapshots: staging model, business key and checked columns.
+# Fixed values. Snapshots: staging model, business key and checked columns.
 SNAPSHOTS = {
     "customers": ("stg_customers", "customer_id", ["customer_city", "customer_state"]),
     "sellers": ("stg_sellers", "seller_id", ["seller_city", "seller_state"]),
@@ -49,12 +49,7 @@ def typed(processed: DataFrame, contract: Contract, all_null: Sequence[str] = ()
 
 def gate(tables: Mapping[str, DataFrame], suite, run_ts: dt.datetime, audit: str) -> DataFrame:
     """Run the suites; record failures under ``audit`` and stop when there are any."""
-    results = stage(run_suite(suite, tables), "gate")
-    failed = failures(results, run_ts)
-    if not failed.isEmpty():
-        append_failures(failed, audit)
-    require_passed(results)
-    return results
+    return enforce(run_suite(suite, tables), run_ts, audit)
 
 
 def freshness(raw: RawTables, now: dt.datetime) -> DataFrame:
@@ -65,14 +60,22 @@ def freshness(raw: RawTables, now: dt.datetime) -> DataFrame:
     return reduce(DataFrame.unionByName, ages)
 
 
+def increment(models: Models, name: str, stored: DataFrame, ts: str) -> DataFrame:
+    """What is new of a staging model. Raw reviews are filtered before they are deduplicated, so
+    that a copy inside the lookback counts even where an older copy would win."""
+    if name == "stg_reviews":
+        return staging.stg_reviews(recent(models.raw.reviews, stored, ts))
+    return recent(getattr(models, name), stored, ts)
+
+
 def update_staging(spark: SparkSession, models: Models, folder: str) -> dict[str, DataFrame]:
     """Merge what is new into the stored incremental models; returns them."""
     stored = {}
     for name, (keys, ts) in INCREMENTAL.items():
-        path, computed = f"{folder}/{name}", getattr(models, name)
-        batch = computed
+        path, batch = f"{folder}/{name}", getattr(models, name)
         if path_exists(spark, path):
-            batch = recent(computed, spark.read.schema(computed.schema).parquet(path), ts)
+            stored_rows = spark.read.schema(batch.schema).parquet(path)
+            batch = increment(models, name, stored_rows, ts)
         by_month = batch.withColumn("partition_month", F.date_format(ts, "yyyy-MM"))
         upsert_partitions(spark, path, by_month, keys, ["partition_month"])
         stored[name] = spark.read.schema(by_month.schema).parquet(path).drop("partition_month")
@@ -86,12 +89,14 @@ def update_snapshots(
     stored = {}
     for name, (model, key, checks) in SNAPSHOTS.items():
         path = f"{folder}/{name}"
+        recover(spark, path)
         current = getattr(models, model).drop("customer_key", "seller_key")
+        current = require_snapshot_key(current, key)
         if path_exists(spark, path):
             history = spark.read.parquet(path)
             after = apply_snapshot(history, current, key, ["zip_code_prefix", *checks], run_ts)
-            # Never overwrite what is being read: stage first.
-            write_table(stage(after, name), path, sort_key=key)
+            # The new history is whole before it takes the place of the one being read.
+            write_table(after, path, sort_key=key)
         else:
             write_table(first_snapshot(current, run_ts), path, sort_key=key)
         stored[name] = spark.read.parquet(path)
@@ -117,8 +122,9 @@ def daily_run(
 ) -> DataFrame:
     """Ingest, gate, reload, staging, snapshots, marts, tests.
 
-    A failed check of the gate stops the run before the raw layer is replaced.
-    Returns the results of the mart tests.
+    A failed check of the gate stops the run before the raw layer is replaced. At the
+    end, the tests of seeds, staging, intermediate models and marts are run, failures
+    are recorded, and any of them fails the run. Returns the results.
     """
     processed, raw = f"{warehouse}/processed", f"{warehouse}/raw"
     all_null: dict[str, list[str]] = {}
@@ -147,7 +153,39 @@ def daily_run(
     if stale:
         raise RuntimeError(f"sources are too old: {', '.join(r.table_name for r in stale)}")
     computed = Models(tables)
-    staging = update_staging(spark, computed, f"{warehouse}/staging")
+    stored = update_staging(spark, computed, f"{warehouse}/staging")
     update_snapshots(spark, computed, f"{warehouse}/snapshots", run_ts)
-    marts = build_marts(spark, Models(tables, **staging), f"{warehouse}/marts")
-    return run_suite(suites.MART_TESTS, marts)
+    marts = build_marts(spark, Models(tables, **stored), f"{warehouse}/marts")
+    tested = check_all(Models(tables, **stored), tables, marts)
+    try:
+        return enforce(tested, run_ts, f"{warehouse}/audit")
+    finally:
+        drop_staged(spark)
+
+
+def check_all(models: Models, raw: RawTables, marts: Mapping[str, DataFrame]) -> DataFrame:
+    """The results of all model tests; stored tables are tested where they are."""
+    seeds = run_suite(suites.SEED_TESTS, {n: getattr(raw, n) for n in suites.SEED_TESTS})
+    parents = {"stg_customers": models.stg_customers, "stg_sellers": models.stg_sellers}
+    return reduce(
+        DataFrame.unionByName,
+        [
+            seeds,
+            check_models(models, suites.STAGING_TESTS),
+            check_models(models, suites.INTERMEDIATE_TESTS, parents),
+            run_suite(suites.MART_TESTS, marts),
+        ],
+    )
+
+
+def enforce(results: DataFrame, run_ts: dt.datetime, audit: str) -> DataFrame:
+    """Record failed checks under ``audit`` and raise; the results, off the staged tables, if
+    all passed."""
+    spark = results.sparkSession
+    kept = results.collect()  # one row per check
+    results = spark.createDataFrame(kept, results.schema)
+    failed = failures(results, run_ts)
+    if not failed.isEmpty():
+        append_failures(failed, audit)
+    require_passed(results)
+    return results

@@ -74,6 +74,38 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def publish(spark: SparkSession, made: str, path: str) -> None:
+    """Put the finished folder ``made`` in the place of ``path``.
+
+    The old folder steps aside first and is deleted last, so at any moment a whole
+    version is at ``path`` or beside it, where ``recover`` finds it.
+    """
+    recover(spark, path)
+    aside = f"{path}.before"
+    if path_exists(spark, path):
+        _rename(spark, path, aside)
+    _rename(spark, made, path)
+    drop_path(spark, aside)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo a ``publish`` that was cut short: the old version returns if the new one
+    never took its place."""
+    aside = f"{path}.before"
+    if path_exists(spark, aside):
+        if path_exists(spark, path):
+            drop_path(spark, aside)
+        else:
+            _rename(spark, aside, path)
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    jvm = spark._jvm.org.apache.hadoop.fs
+    folder = jvm.Path(source)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).rename(folder, jvm.Path(target)):
+        raise RuntimeError(f"cannot move {source} to {target}")
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete all tables this application has staged; frames over them end with it."""
     drop_path(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")

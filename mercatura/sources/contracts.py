@@ -33,6 +33,11 @@ class Contract:
         kind = self.columns[column]
         return "string" if kind.startswith("varchar(") else kind
 
+    @property
+    def has_rules(self) -> bool:
+        """Whether a row can break the contract."""
+        return bool(self.lengths or self.required)
+
     @property
     def timestamps(self) -> list[str]:
         return [c for c, kind in self.columns.items() if kind == "timestamp_ntz"]

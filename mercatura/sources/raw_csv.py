@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercatura.functions.calendar import parse_timestamp
 from mercatura.sources.contracts import Contract
@@ -16,16 +19,70 @@ TYPE_SUFFIXES = ("_string", "_long", "_double", "_int", "_boolean")
 PARTITION_COLUMNS = ("partition_year", "partition_month")
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Every column as text; header, comma, double quotes, an optional BOM.
-
-    Nothing is inferred, so the files are read once. ``multiline`` allows line
-    breaks inside quotes at the price of one task per file.
+MALFORMED = "_malformed"
+"""Text of a row with more or fewer fields than its file's header; null for all others."""
+
+
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``path`` by the names in their first line; only that line is read."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s for s in files.listStatus(root) if s.isFile()]
+    found = [s.getPath() for s in found if s.getPath().getName()[0] not in "._"]
+
+    def header(file) -> tuple[str, ...]:
+        stream = files.open(file)
+        reader = spark._jvm.java.io.BufferedReader(
+            spark._jvm.java.io.InputStreamReader(stream, "UTF-8")
+        )
+        try:
+            names = next(csv.reader([reader.readLine() or ""]), [])
+        finally:
+            reader.close()
+        return tuple(name.strip("\ufeff\r\n\"' ") for name in names)
+
+    with ThreadPoolExecutor(16) as pool:
+        names = list(pool.map(header, found))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, columns in zip(found, names):
+        if columns:
+            groups.setdefault(columns, []).append(file.toString())
+    return groups
+
+
+def read_files(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Every column as text, by the header of its own file, and ``MALFORMED``.
+
+    Files with the same header are read together; others are united by name, so order
+    and number of columns may differ from file to file. Comma, double quotes, an optional
+    BOM. ``multiline`` allows line breaks inside quotes at the price of one task per file.
     """
-    df = spark.read.csv(
-        path, header=True, quote='"', escape='"', multiLine=multiline, inferSchema=False
-    )
-    return df.toDF(*[name.strip("﻿\r\n\"' ") for name in df.columns])
+    parts = []
+    for columns, files in sorted(_headers(spark, path).items()):
+        if len(set(columns)) < len(columns):
+            raise ValueError(f"{files[0]} names a column twice: {columns}")
+        fields = [T.StructField(name, T.StringType()) for name in (*columns, MALFORMED)]
+        part = spark.read.csv(
+            files,
+            schema=T.StructType(fields),
+            header=True,
+            quote='"',
+            escape='"',
+            multiLine=multiline,
+            mode="PERMISSIVE",
+            columnNameOfCorruptRecord=MALFORMED,
+        )
+        parts.append(part)
+    if not parts:
+        raise RuntimeError(f"{path} has no rows: check that the source was delivered")
+    united = merge_drift(parts)
+    return united.select(*[c for c in united.columns if c != MALFORMED], MALFORMED)
+
+
+def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """The columns of ``read_files`` without the mark of malformed rows."""
+    return read_files(spark, path, multiline).drop(MALFORMED)
 
 
 def require_rows(df: DataFrame, name: str) -> DataFrame:
@@ -63,11 +120,21 @@ def repair_columns(df: DataFrame, contract: Contract) -> DataFrame:
         name = next(n for n, group in split.items() if column in group)
         if name not in placed:
             placed.add(name)
-            values = [F.col(c).cast("string") for c in split[name]]
+            values = [_variant(c, contract.spark_type(name)) for c in split[name]]
             repaired.append(F.coalesce(*values).alias(name))
     return df.select(*repaired)
 
 
+def _variant(column: str, kind: str) -> Column:
+    """The text of a split column's value; a whole double of an int column without '.0'."""
+    text = F.col(column).cast("string")
+    if kind in ("int", "bigint") and column.endswith("_double"):
+        number = text.try_cast("double")
+        whole = number == F.floor(number)
+        return F.when(whole, number.cast("bigint").cast("string")).otherwise(text)
+    return text
+
+
 def drop_all_null(df: DataFrame) -> tuple[DataFrame, list[str]]:
     """Drop columns without a single value; also says which ones. One pass."""
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).first()
@@ -143,13 +210,24 @@ def apply_contract(
     return df.select(*[v.cast(contract.spark_type(c)).alias(c) for c, v in values.items()])
 
 
-def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """Values too long for their column, and nulls in the required one. One pass."""
+def _broken(contract: Contract) -> dict[str, Column]:
+    """What breaks the contract, as a test of a row."""
     tests = {f"{c} is longer than {n}": F.length(c) > n for c, n in contract.lengths.items()}
     if contract.required:
         tests[f"{contract.required} is null"] = F.col(contract.required).isNull()
-    if not tests:
-        tests["no test"] = F.lit(False)
+    return tests
+
+
+def observed_violations(df: DataFrame, contract: Contract) -> tuple[DataFrame, Observation]:
+    """Counts of broken rules by their description, filled in when ``df`` is written."""
+    seen = Observation()
+    counts = [F.count(F.when(test, 1)).alias(name) for name, test in _broken(contract).items()]
+    return (df.observe(seen, *counts) if counts else df), seen
+
+
+def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
+    """Values too long for their column, and nulls in the required one. One pass."""
+    tests = _broken(contract) or {"no test": F.lit(False)}
     names = list(tests)
     counted = df.agg(*[F.count(F.when(tests[n], 1)).alias(f"v{i}") for i, n in enumerate(names)])
     rows = [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
@@ -10,16 +11,18 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.session import stage
+from mercatura.session import drop_path, publish, recover
 from mercatura.sources.contracts import CONTRACTS, Contract
 from mercatura.sources.raw_csv import (
+    MALFORMED,
     PARTITION_COLUMNS,
     add_partition_columns,
     apply_contract,
     cast_timestamps,
     drop_partition_columns,
     observed_failures,
-    read_csv,
+    observed_violations,
+    read_files,
     repair_columns,
     require_rows,
 )
@@ -31,6 +34,14 @@ class RowCountMismatch(RuntimeError):
     """The target does not hold as many rows as were sent."""
 
 
+class MalformedRows(RuntimeError):
+    """Files hold rows that do not fit their header."""
+
+
+class ContractBroken(RuntimeError):
+    """Rows break the contract of their table."""
+
+
 class LoadFailed(RuntimeError):
     """At least one table of a run failed; ``summary`` tells which."""
 
@@ -40,29 +51,46 @@ class LoadFailed(RuntimeError):
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_key: str | None = None
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    sort_key: str | None = None,
+    check: Callable[[int], None] | None = None,
 ) -> int:
     """Replace the table at ``path`` with Snappy Parquet; returns the rows written.
 
-    The count is observed during the write, without a pass of its own. With
+    The rows go to a folder beside it, which takes its place when it is whole and
+    ``check``, given the rows written, has not raised: until then readers see the old
+    table. The count is observed during the write, without a pass of its own. With
     partition columns, rows are first rebalanced by them: each partition is
     written by few tasks, and one that holds most rows is split over several.
     """
+    spark = df.sparkSession
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_key:
         # Narrow min/max per row group, so scans on the key skip most of a file.
         df = df.sortWithinPartitions(*partition_by, sort_key)
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    made = f"{path}.new-{uuid.uuid4().hex}"
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.option("compression", "snappy").parquet(path)
-    return seen.get["rows"]
+    try:
+        writer.option("compression", "snappy").parquet(made)
+        rows = seen.get["rows"]
+        if check is not None:
+            check(rows)
+    except Exception:
+        drop_path(spark, made)
+        raise
+    publish(spark, made, path)
+    return rows
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A stored table; fails when it has no rows."""
+    recover(spark, path)
     return require_rows(spark.read.parquet(path), path)
 
 
@@ -74,38 +102,50 @@ def read_partitions(spark: SparkSession, path: str, year: str, month: str) -> Da
 
 
 class Processed(NamedTuple):
-    """What ``csv_to_parquet`` wrote and which columns it left out as all null."""
+    """What ``csv_to_parquet`` wrote, the all-null columns it left out, and malformed rows."""
 
     rows: int
     all_null: list[str]
+    malformed: int = 0
 
 
-def csv_to_parquet(spark: SparkSession, source: str, target: str, contract: Contract) -> Processed:
+def csv_to_parquet(
+    spark: SparkSession, source: str, target: str, contract: Contract, allow_malformed: int = 0
+) -> Processed:
     """Raw files to processed Parquet: repair, drop empty columns, partition by month.
 
-    The files are parsed once: values per column are counted while the rows are
-    written. Only when a column turns out to be empty is the Parquet table,
-    much cheaper to read than the files, written again without it.
+    The files are parsed once: values per column and malformed rows are counted while the
+    rows are written. Only when a column turns out to be empty are the rows, as
+    Parquet much cheaper to read than the files, written again without it. More than
+    ``allow_malformed`` malformed rows stop the load before the target is replaced.
     """
-    df = repair_columns(
-        require_rows(read_csv(spark, source, contract.multiline), source), contract
-    )
+    read = require_rows(read_files(spark, source, contract.multiline), source)
+    # Counted before any column is left out, so the parser sees all fields.
+    faults = Observation()
+    read = read.observe(faults, F.count(F.col(MALFORMED)).alias("malformed"))
+    df = repair_columns(read.drop(MALFORMED), contract)
     columns, parts = df.columns, ()
     if contract.partition_by:
         df, parts = add_partition_columns(df, contract.partition_by), PARTITION_COLUMNS
     values = Observation()
     counted = df.observe(values, *[F.count(F.col(c)).alias(c) for c in df.columns])
-    rows = write_table(counted, target, parts)
+    found: dict[str, int] = {}
+
+    def check(_: int) -> None:
+        found["malformed"] = faults.get["malformed"]
+        if found["malformed"] > allow_malformed:
+            raise MalformedRows(f"{source}: {found['malformed']} rows do not fit their header")
+
+    rows = write_table(counted, target, parts, check=check)
     empty = [c for c in columns if values.get[c] == 0]
     if empty:
         logger.warning("%s: all-null columns dropped: %s", source, empty)
-        kept = stage(spark.read.schema(df.schema).parquet(target).drop(*empty), "processed")
-        rows = write_table(kept, target, parts)
+        rows = write_table(spark.read.schema(df.schema).parquet(target).drop(*empty), target, parts)
     if contract.partition_by and contract.partition_by in columns:
         unread = values.get[contract.partition_by] - values.get["partition_year"]
         if unread:
             logger.warning("%s: %s dates cannot be read", source, unread)
-    return Processed(rows, empty)
+    return Processed(rows, empty, found["malformed"])
 
 
 def reload_table(
@@ -117,12 +157,22 @@ def reload_table(
 ) -> int:
     """Processed Parquet to the raw layer: typed, in contract order, replaced in full.
 
-    Returns the rows written after checking that the target holds as many.
+    Returns the rows written after checking that the target holds as many. Nulls in
+    the required column and values too long for theirs stop the load before the target is
+    replaced.
     """
     processed = drop_partition_columns(repair_columns(read_table(spark, source), contract))
     checked, seen = observed_failures(processed, contract.timestamps)
     typed = apply_contract(cast_timestamps(checked, contract.timestamps), contract, all_null)
-    rows = write_table(typed, target, sort_key=contract.sort_key)
+    guarded, broken = observed_violations(typed, contract)
+
+    def check(_: int) -> None:
+        found = {rule: n for rule, n in broken.get.items() if n} if contract.has_rules else {}
+        if found:
+            told = "; ".join(f"{rule}: {n} rows" for rule, n in found.items())
+            raise ContractBroken(f"{target}: {told}")
+
+    rows = write_table(guarded, target, sort_key=contract.sort_key, check=check)
     for name, count in seen.get.items():
         if name != "rows" and count:
             logger.warning("%s: %s: %s values are no timestamps", target, name, count)
@@ -139,28 +189,31 @@ def reconcile(source_rows: int, target: DataFrame, name: str) -> int:
 
 
 def run_tables(
-    spark: SparkSession, load: Callable[[str], int], names: Sequence[str], parallel: int = 3
+    spark: SparkSession, load: Callable[[str], int | tuple[int, int]], names: Sequence[str], parallel: int = 3
 ) -> DataFrame:
     """Load every table; one failure does not stop the others.
 
-    Returns (table_name, rows, status, error). Raises ``LoadFailed`` with that
+    ``load`` returns the rows it loaded, or these and the malformed rows among them.
+    Returns (table_name, rows, status, error, malformed). Raises ``LoadFailed`` with that
     summary at the end when a table failed. Small tables run side by side, so
     the cluster is not idle between their jobs.
     """
 
     def one(name: str) -> tuple:
         try:
-            return name, load(name), "loaded", None
+            loaded = load(name)
+            rows, malformed = loaded if isinstance(loaded, tuple) else (loaded, 0)
+            return name, rows, "loaded", None, malformed
         except Exception as error:  # reported per table, raised at the end
             logger.exception("%s failed", name)
-            return name, None, "failed", f"{type(error).__name__}: {error}"
+            return name, None, "failed", f"{type(error).__name__}: {error}", None
 
     with ThreadPoolExecutor(parallel) as pool:
         results = list(pool.map(one, names))
     summary = spark.createDataFrame(
-        results, "table_name string, rows bigint, status string, error string"
+        results, "table_name string, rows bigint, status string, error string, malformed bigint"
     )
-    failed = [name for name, _, status, _ in results if status == "failed"]
+    failed = [name for name, _, status, *_ in results if status == "failed"]
     if failed:
         raise LoadFailed(summary, failed)
     return summary
@@ -172,15 +225,15 @@ def load_all(
     processed: str,
     target: str,
     contracts: Mapping[str, Contract] = CONTRACTS,
+    allow_malformed: int = 0,
 ) -> DataFrame:
     """Both steps for every table under three root folders."""
 
-    def load(name: str) -> int:
-        contract = contracts[name]
-        step = csv_to_parquet(spark, f"{raw}/{name}", f"{processed}/{name}", contract)
-        return reload_table(
-            spark, f"{processed}/{name}", f"{target}/{name}", contract, step.all_null
-        )
+    def load(name: str) -> tuple[int, int]:
+        contract, between = contracts[name], f"{processed}/{name}"
+        step = csv_to_parquet(spark, f"{raw}/{name}", between, contract, allow_malformed)
+        rows = reload_table(spark, between, f"{target}/{name}", contract, step.all_null)
+        return rows, step.malformed
 
     return run_tables(spark, load, list(contracts))
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from mercatura.operators.dedupe import first_per_key
@@ -17,30 +16,26 @@ def merge_stream(
     path: str,
     checkpoint: str,
     keys: Sequence[str],
-    ts: str,
     newest_first: Sequence[Column],
     partition_columns: Sequence[str],
-    lookback_days: int = 3,
 ) -> StreamingQuery:
     """Merge what a streaming ``source`` has into the partitioned table at ``path``.
 
-    The watermark is the lookback: rows older than the newest ``ts`` seen minus
-    ``lookback_days`` are late, as in the batch job, and left out; a row that is
-    delivered twice in that time passes once. Each micro-batch keeps one row per
-    key, the first under ``newest_first``, and goes through the merge of the
-    batch job. That merge is idempotent: a replayed batch changes nothing.
+    Of each key, the first row under ``newest_first`` among the stored one and all that
+    arrive is kept, so neither the order of versions nor how files fall into micro-batches
+    matters, and a replayed batch changes nothing. No row is too late: one that arrives
+    after years still fills a gap, or loses against the stored version. No state is kept
+    between batches but the table.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = first_per_key(batch, keys, newest_first)
-        upsert_partitions(batch.sparkSession, path, rows, keys, partition_columns)
+        upsert_partitions(
+            batch.sparkSession, path, rows, keys, partition_columns, newest_first=newest_first
+        )
 
     return (
-        source.withColumn("_event_time", F.col(ts).cast("timestamp"))
-        .withWatermark("_event_time", f"{lookback_days} days")
-        .dropDuplicatesWithinWatermark()
-        .drop("_event_time")
-        .writeStream.foreachBatch(merge)
+        source.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mercatura.functions.calendar import at
 from mercatura.operators import history, upsert
+from mercatura.plans.daily import increment
 from mercatura.plans.models import Models
 from mercatura.session import staged_path
 from mercatura.sources import raw_csv, tables
@@ -34,6 +35,11 @@ def as_text(df: DataFrame) -> DataFrame:
     )
 
 
+def short_states(df: DataFrame) -> DataFrame:
+    """State names cut to the eight characters of the contract, from the right to stay apart."""
+    return df.withColumns({c: F.right(c, F.lit(8)) for c in df.columns if c.endswith("_state")})
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.csv(path, header=True, quote='"', escape='"')
 
@@ -216,7 +222,7 @@ def load_everything(m: Models) -> DataFrame:
     spark = m.raw.spark
     raw, processed, target = (staged_path(spark, f) for f in ("raw", "processed", "target"))
     for name in CONTRACTS:
-        write_csv(as_text(getattr(m.raw, name)), f"{raw}/{name}")
+        write_csv(as_text(short_states(getattr(m.raw, name))), f"{raw}/{name}")
     return tables.load_all(spark, raw, processed, target)
 
 
@@ -241,6 +247,121 @@ register(
     + " union all select 'category_translation', 5, 'loaded'",
 )
 
+
+
+def mixed_headers(m: Models) -> DataFrame:
+    """Three deliveries in one folder: other order, a column less, a column more."""
+    spark, orders = m.raw.spark, raw_orders(m)
+    raw, processed, target = (staged_path(spark, f) for f in ("raw", "processed", "target"))
+    share = F.col("order_id").cast("bigint") % 3
+    deliveries = [
+        orders.where(share == 0),
+        orders.where(share == 1).select(*reversed(orders.columns)),
+        orders.where(share == 2).drop("order_approved_at").withColumn("channel", F.lit("web")),
+    ]
+    for part in deliveries:
+        part.write.csv(f"{raw}/orders", header=True, quote='"', escape='"', mode="append")
+    contracts = {"orders": CONTRACTS["orders"]}
+    tables.load_all(spark, raw, processed, target, contracts).collect()
+    return tables.read_table(spark, f"{target}/orders")
+
+
+register(
+    "ing_mixed_headers",
+    "order_id s, customer_id s, order_status s, order_purchase_timestamp t, "
+    "order_approved_at t, order_delivered_carrier_date t, order_delivered_customer_date t, "
+    "order_estimated_delivery_date t",
+    mixed_headers,
+    """select * replace (
+         case when order_id % 89 <> 0 then order_purchase_timestamp end
+           as order_purchase_timestamp,
+         case when order_id % 97 <> 0 and order_id % 3 <> 2 then order_approved_at end
+           as order_approved_at)
+from m_orders""",
+)
+
+
+def malformed_rows(m: Models) -> DataFrame:
+    """Sellers as lines of text: every 7th lacks its last field, every 11th has one too many."""
+    spark = m.raw.spark
+    raw, processed, target = (staged_path(spark, f) for f in ("raw", "processed", "target"))
+    sellers = as_text(short_states(m.raw.sellers))
+    ident = F.col("seller_id").cast("bigint")
+    names = sellers.columns
+    line = (
+        F.when(ident % 7 == 0, F.concat_ws(",", *names[:-1]))
+        .when(ident % 11 == 0, F.concat_ws(",", *names, F.lit("more")))
+        .otherwise(F.concat_ws(",", *names))
+    )
+    # One task and file: the header line comes first.
+    head = spark.createDataFrame([(0, ",".join(names))], "place bigint, line string")
+    lines = head.unionByName(sellers.select((ident + 1).alias("place"), line.alias("line")))
+    lines.coalesce(1).sortWithinPartitions("place").select("line").write.text(f"{raw}/sellers")
+    contracts = {"sellers": CONTRACTS["sellers"]}
+    return tables.load_all(spark, raw, processed, target, contracts, allow_malformed=1 << 40)
+
+
+register(
+    "ing_malformed_rows",
+    "table_name s, rows i, malformed i, status s",
+    malformed_rows,
+    """select 'sellers' as table_name, count(*) as rows,
+       count(case when seller_id % 7 = 0 or seller_id % 11 = 0 then 1 end) as malformed,
+       'loaded' as status
+from m_sellers""",
+)
+
+
+def contract_violations(m: Models) -> DataFrame:
+    """Every 6th order has no id, every 10th a status that is too long."""
+    order = F.col("order_id").cast("bigint")
+    broken = raw_orders(m).withColumns(
+        {
+            "order_id": F.when(order % 6 != 0, F.col("order_id")),
+            "order_status": F.when(order % 10 == 0, F.repeat("order_status", 9)).otherwise(
+                F.col("order_status")
+            ),
+        }
+    )
+    found = raw_csv.contract_violations(broken, CONTRACTS["orders"])
+    return found.where("row_count > 0")
+
+
+register(
+    "ing_contract_violations",
+    "violation s, row_count i",
+    contract_violations,
+    """select 'order_id is null' as violation, count(*) as row_count from m_orders
+where order_id % 6 = 0 having count(*) > 0
+union all
+select 'order_status is longer than 32', count(*) from m_orders
+where order_id % 10 = 0 and length(order_status) * 9 > 32 having count(*) > 0""",
+)
+
+
+def numeric_variants(m: Models) -> DataFrame:
+    """Photo counts that arrive as doubles, longs or text."""
+    photos = F.col("product_photos_qty")
+    part = F.col("product_id").cast("bigint") % 3
+    split = m.raw.products.select(
+        "product_id",
+        F.when(part == 0, photos.cast("double")).alias("product_photos_qty_double"),
+        F.when(part == 1, photos.cast("bigint")).alias("product_photos_qty_long"),
+        F.when(part == 2, photos.cast("string")).alias("product_photos_qty"),
+    )
+    repaired = raw_csv.repair_columns(split, CONTRACTS["products"])
+    others = [c for c in CONTRACTS["products"].columns if c not in repaired.columns]
+    typed = raw_csv.apply_contract(repaired, CONTRACTS["products"], others)
+    return typed.select("product_id", "product_photos_qty")
+
+
+register(
+    "ing_numeric_variants",
+    "product_id s, product_photos_qty i",
+    numeric_variants,
+    "select product_id, photos_qty as product_photos_qty from m_raw_products",
+)
+
 # ── Incremental merge ────────────────────────────────────────────────────────
 
 CUT = "2000-01-01"
@@ -346,7 +467,7 @@ def upserted_reviews(m: Models) -> DataFrame:
     created = F.col("review_creation_date")
     cut = at(dt.datetime.fromisoformat(REVIEW_CUT))
     target = m.stg_reviews.where(created <= cut).withColumn("review_score", F.lit(0))
-    batch = upsert.recent(m.stg_reviews, target, "review_creation_date")
+    batch = increment(m, "stg_reviews", target, "review_creation_date")
     return upsert.upsert(target, batch, ["review_key"])
 
 
@@ -482,7 +603,6 @@ def streamed_orders(m: Models) -> DataFrame:
         table,
         marks,
         keys=["order_key"],
-        ts="order_purchase_timestamp",
         newest_first=newest_first,
         partition_columns=["purchase_month"],
     ).awaitTermination()

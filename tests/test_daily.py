@@ -9,8 +9,8 @@ from mercatura.plans import suites
 from mercatura.plans.daily import daily_run, freshness
 from mercatura.plans.models import Models
 from mercatura.sources.contracts import CONTRACTS
-from mercatura.sources.marketplace import Marketplace
-from oracles.loads_sql import as_text, write_csv
+from mercatura.sources.marketplace import Marketplace, RawTables
+from oracles.loads_sql import as_text, short_states, write_csv
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -22,7 +22,8 @@ def _without_row_count():
 
 def test_two_runs(spark, tmp_path):
     files, warehouse = str(tmp_path / "files"), str(tmp_path / "warehouse")
-    raw = Marketplace(spark, FOLDER)
+    market = Marketplace(spark, FOLDER)
+    raw = RawTables(**{name: short_states(getattr(market, name)) for name in CONTRACTS})
     for name in CONTRACTS:
         write_csv(as_text(getattr(raw, name)), f"{files}/{name}")
 

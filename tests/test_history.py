@@ -101,3 +101,10 @@ def test_as_of_join_takes_the_version_of_the_moment(spark, versions):
     assert {r.fact: r.city for r in joined.collect()} == {
         10: None, 11: "a", 12: "a", 13: "b", 14: None,
     }
+
+
+def test_snapshots_need_a_unique_key(spark):
+    for rows, told in ([(1,), (1,)], "0 rows without it, 1 keys"), ([(None,), (2,)], "1 rows"):
+        with pytest.raises(history.SnapshotKeyError, match=told):
+            history.require_snapshot_key(spark.createDataFrame(rows, "k int"), "k")
+    assert history.require_snapshot_key(spark.range(3), "id").count() == 3

@@ -138,7 +138,7 @@ RAW = b"id,n,at,price,note\na,1,2018-03-04 05:06:07,1.50,\nb,2,soon,2.50,\nc,,20
 def test_csv_to_table_and_back(spark, folder, tmp_path):
     processed, target = str(tmp_path / "processed"), str(tmp_path / "target")
     step = tables.csv_to_parquet(spark, folder("raw", RAW), processed, SMALL)
-    assert step == (3, ["note"])
+    assert step == (3, ["note"], 0)
     assert tables.read_partitions(spark, processed, "2018", "03").count() == 1
     assert tables.reload_table(spark, processed, target, SMALL, step.all_null) == 3
     rows = {r.id: (r.n, r.at, r.price) for r in tables.read_table(spark, target).collect()}
@@ -185,3 +185,63 @@ def test_every_contract_type_is_known(spark):
         empty = spark.createDataFrame([], schema)
         assert raw_csv.apply_contract(empty, contract).columns == list(contract.columns), name
         assert raw_csv.contract_violations(empty, contract).where(F.col("row_count") > 0).isEmpty()
+
+
+def test_files_are_read_by_their_own_header(spark, folder, tmp_path):
+    files = [b"id,n,at,price\na,1,2018-01-02,1.5\n", b"id,price,at,n,more\nb,2.5,2018-02-03,2,x\n"]
+    path = folder("mixed", *files, b"id,n,price\nc,3,3.5\n")
+    rows = {r.id: (r.n, r.price, r.at, r.more) for r in raw_csv.read_csv(spark, path).collect()}
+    assert rows == {
+        "a": ("1", "1.5", "2018-01-02", None),
+        "b": ("2", "2.5", "2018-02-03", "x"),
+        "c": ("3", "3.5", None, None),
+    }
+
+
+def test_malformed_rows_are_counted_and_refused(spark, folder, tmp_path):
+    content = b"id,n,at,price\na,1,2018-01-02,1.5\nb,2\nc,3,2018-01-02,2.5,extra\n"
+    raw, target = folder("raw", content), str(tmp_path / "processed")
+    with pytest.raises(tables.MalformedRows, match="2 rows"):
+        tables.csv_to_parquet(spark, raw, target, SMALL)
+    assert not (tmp_path / "processed").exists()
+    step = tables.csv_to_parquet(spark, raw, target, SMALL, allow_malformed=2)
+    assert step == (3, [], 2)
+
+
+def test_broken_contract_leaves_the_old_table(spark, tmp_path):
+    source, target = str(tmp_path / "processed"), str(tmp_path / "target")
+    good = [("a", "1", "2018-01-02 03:04:05", "1.5")]
+    schema = "id string, n string, at string, price string"
+    spark.createDataFrame(good, schema).write.parquet(source)
+    assert tables.reload_table(spark, source, target, SMALL) == 1
+    bad = [("long id", "1", None, None), (None, "2", None, None)]
+    spark.createDataFrame(bad, schema).write.mode("overwrite").parquet(source)
+    with pytest.raises(tables.ContractBroken, match="id is longer than 3: 1 rows; id is null: 1 rows"):
+        tables.reload_table(spark, source, target, SMALL, ["at", "price"])
+    assert [r.id for r in spark.read.parquet(target).collect()] == ["a"]
+
+
+def test_a_write_that_fails_half_way_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(5), path)
+    broken = spark.range(100).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_table(spark.range(50).union(broken), path)
+    assert spark.read.parquet(path).count() == 5
+    assert [f.name for f in tmp_path.iterdir()] == ["t"]
+    (tmp_path / "t").rename(tmp_path / "t.before")  # as after a crash between the two renames
+    assert tables.read_table(spark, path).count() == 5
+
+
+def test_numeric_variants_and_session_zones(spark):
+    rows = [("1", 4.0, None), ("2", 4.5, None), ("3", None, 7)]
+    split = spark.createDataFrame(rows, "id string, n_double double, n_long long")
+    repaired = raw_csv.repair_columns(split, SMALL)
+    assert [r.n for r in repaired.collect()] == ["4", "4.5", "7"]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        text = spark.createDataFrame([("2017-10-15 00:30:00",)], "at string")
+        assert raw_csv.cast_timestamps(text, ["at"]).first().at == dt.datetime(2017, 10, 15, 0, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -71,3 +71,21 @@ def test_sequence_equals_window_with_a_hot_key_and_nulls(spark):
         ).collect()
     }
     assert len(found) == 3000 and found == expected
+
+
+def test_one_key_and_instant_with_a_third_of_the_rows_is_split(spark):
+    rows = spark.range(30_000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+        F.lit("2020-01-01").cast("timestamp_ntz").alias("ts"),
+    )
+    found = sequence_per_key(rows, "k", "ts", "id", "n", "first")
+    hot = found.where("k = 0")
+    assert hot.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first() == (1, 10_000, 10_000)
+    assert found.where("k <> 0 and n <> 1").isEmpty()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sorted_parts = rows.orderBy("k", "ts", "id").groupBy(F.spark_partition_id()).count()
+        assert max(r["count"] for r in sorted_parts.collect()) < 10_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -25,7 +25,6 @@ def _run(spark, inbox, table, marks):
         table,
         marks,
         keys=["order_id"],
-        ts="ts",
         newest_first=[F.col("step").desc()],
         partition_columns=["day"],
     ).awaitTermination()
@@ -44,7 +43,23 @@ def test_updates_late_rows_and_repeats(spark):
 
     # Order 2 moves on, order 3 is new, and order 1's update is ten days late.
     arrive(_row(2, 10, "delivered", 3), _row(3, 8, "created", 1), _row(1, 0, "shipped", 2))
-    assert _run(spark, inbox, table, marks) == [(1, "created"), (2, "delivered"), (3, "created")]
-
-    # Nothing new: nothing changes.
-    assert _run(spark, inbox, table, marks) == [(1, "created"), (2, "delivered"), (3, "created")]
+    after = [(1, "shipped"), (2, "delivered"), (3, "created")]
+    assert _run(spark, inbox, table, marks) == after
+
+    # Nothing new: nothing changes. An older version that arrives late: neither.
+    assert _run(spark, inbox, table, marks) == after
+    arrive(_row(2, 10, "shipped", 2))
+    assert _run(spark, inbox, table, marks) == after
+
+
+def test_a_backfill_gives_the_same_table_in_one_batch_or_many(spark):
+    rows = [_row(i % 7, 40 * (i % 3), f"s{i}", i) for i in range(30)]
+    found = []
+    for size in (30, 4):
+        inbox, table, marks = (staged_path(spark, f) for f in ("inbox", "table", "marks"))
+        for start in range(0, len(rows), size):
+            part = rows[len(rows) - start - size if size == 4 else 0 :][:size] if start + size <= 30 else rows[:2]
+            spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(inbox)
+            got = _run(spark, inbox, table, marks)
+        found.append(got)
+    assert found[0] == found[1] and len(found[0]) == 7
