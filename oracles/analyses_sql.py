@@ -144,23 +144,21 @@ from x_orders where delivery_delay_days is not null and review_score is not null
 
 
 def _clv(floor: int) -> str:
-    return f"""select cohort_month, tenure_months, customer_count, spend_c / 1e2
-         as avg_spend_per_customer,
-       sum(spend_c) over (partition by cohort_month order by tenure_months
-         rows between unbounded preceding and current row) / 1e2 as cumulative_avg_clv
-from (
-  select *, sum(customer_count) over (partition by cohort_month) as cohort_size
-  from (
-    select cohort_month, tenure_months, count(customer_unique_id) as customer_count,
-           cast(round({avg_rr('spend_c', 2, 2)} * 100) as bigint) as spend_c
-    from (
-      select c.customer_unique_id, c.cohort_month, r.spend_c,
-             {month_diff('c.first_order_date', 'r.last_order_date')} as tenure_months
-      from mart_cohorts c left join rfm_metrics r
-        on c.customer_unique_id = r.customer_unique_id
-      where r.spend_c is not null)
-    group by cohort_month, tenure_months))
-where cohort_size >= {floor}"""
+    """A cell adds up the averages of all cells of its cohort up to its own tenure."""
+    tenure = month_diff("c.first_order_date", "r.last_order_date")
+    return f"""with spenders as (
+  select cohort_month, {tenure} as tenure_months, spend_c
+  from mart_cohorts c join rfm_metrics r using (customer_unique_id) where spend_c is not null),
+cells as (
+  select cohort_month, tenure_months, count(*) as customer_count,
+         cast(round({avg_rr('spend_c', 2, 2)} * 100) as bigint) as cents
+  from spenders group by all),
+cohorts as (select cohort_month from spenders group by all having count(*) >= {floor})
+select c.cohort_month, c.tenure_months, c.customer_count,
+       c.cents / 1e2 as avg_spend_per_customer, sum(e.cents) / 1e2 as cumulative_avg_clv
+from cells c semi join cohorts using (cohort_month)
+join cells e on e.cohort_month = c.cohort_month and e.tenure_months <= c.tenure_months
+group by c.cohort_month, c.tenure_months, c.customer_count, c.cents"""
 
 
 CLV = (
@@ -182,35 +180,38 @@ register(
     _clv(50),
 )
 
-_LIVE = ["delivered", "shipped", "processing", "invoiced", "approved"]
-
-
-def _stage(place: int, name: str) -> str:
-    statuses = _LIVE[: 7 - place]
-    if name == "created":
-        statuses = _LIVE + ["created", "canceled", "unavailable"]
-    listed = ", ".join(f"'{s}'" for s in statuses)
-    return (
-        f"select {place} as stage_order, '{name}' as stage_name, count(distinct order_id) "
-        f"as stage_count from m_orders where order_status in ({listed})"
-    )
-
-
-_STAGES = " union all ".join(_stage(i, s) for i, s in enumerate(analyses.FUNNEL_STAGES, start=1))
+# The statuses that have reached each stage.
+_REACHED = {
+    "created": "created, approved, invoiced, processing, shipped, delivered, canceled, unavailable",
+    "approved": "approved, invoiced, processing, shipped, delivered",
+    "invoiced": "invoiced, processing, shipped, delivered",
+    "processing": "processing, shipped, delivered",
+    "shipped": "shipped, delivered",
+    "delivered": "delivered",
+}
+_STAGES = " union all ".join(
+    f"select {place} as stage_order, '{name}' as stage_name, '{reached}' as reached"
+    for place, (name, reached) in enumerate(_REACHED.items(), start=1)
+)
 register(
     "anl_order_funnel",
     "stage_order i, stage_name s, stage_count i, prev_stage_count d, "
     "stage_over_stage_pct d, pct_of_top_funnel d",
     lambda m: analyses.order_funnel(m.stg_orders),
-    f"""select stage_order, stage_name, stage_count, prev_stage_count,
+    f"""with stages as (
+  select stage_order, stage_name, count(distinct order_id) as stage_count
+  from ({_STAGES}) s left join m_orders o
+    on list_contains(string_split(reached, ', '), o.order_status)
+  group by all),
+compared as (
+  select s.*, p.stage_count as prev_stage_count, t.stage_count as top_count
+  from stages s left join stages p on p.stage_order = s.stage_order - 1
+  join stages t on t.stage_order = 1)
+select stage_order, stage_name, stage_count, prev_stage_count,
        {rr('100 * (stage_count - prev_stage_count)', 'nullif(prev_stage_count, 0)', 1)}
          as stage_over_stage_pct,
        {rr('100 * stage_count', 'nullif(top_count, 0)', 1)} as pct_of_top_funnel
-from (
-  select *, lag(stage_count) over (order by stage_order) as prev_stage_count,
-         first_value(stage_count) over (order by stage_order
-           rows between unbounded preceding and unbounded following) as top_count
-  from ({_STAGES}))""",
+from compared""",
 )
 
 # ── Dashboard ────────────────────────────────────────────────────────────────
