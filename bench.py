@@ -39,7 +39,11 @@ HEADLINE = [
     "fact_order_items",
     "scd2_customers",
     "scd2_as_of_items",
+    "ing_load_summary",
+    "ing_contract_orders",
     "upsert_orders",
+    "upsert_order_partitions",
+    "stream_upsert_orders",
     "dq_orders_suite",
     "dq_staging_tests",
 ]

@@ -36,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a folder all executors can reach"
             )
