@@ -119,8 +119,8 @@ def _retention(**columns: str) -> list[Column]:
     return [percentage(F.col(flag) == 1, 1).alias(name) for name, flag in columns.items()]
 
 
-def cohort_retention(cohorts: DataFrame) -> DataFrame:
-    """Share of each month's new customers who came back, larger cohorts only."""
+def cohort_retention(cohorts: DataFrame, floor: int = COHORT_FLOOR) -> DataFrame:
+    """Share of each month's new customers who came back, cohorts of ``floor`` or more only."""
     return (
         cohorts.groupBy("cohort_month")
         .agg(
@@ -132,7 +132,7 @@ def cohort_retention(cohorts: DataFrame) -> DataFrame:
                 lifetime_repeat_pct="is_repeat_customer",
             ),
         )
-        .where(F.col("cohort_size") >= COHORT_FLOOR)
+        .where(F.col("cohort_size") >= floor)
         .orderBy("cohort_month")
     )
 

@@ -156,9 +156,13 @@ def mart_customer_cohorts(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def mart_delivery_analysis(
-    orders: DataFrame, order_items: DataFrame, sellers: DataFrame, customers: DataFrame
+    orders: DataFrame,
+    order_items: DataFrame,
+    sellers: DataFrame,
+    customers: DataFrame,
+    floor: int = CORRIDOR_FLOOR,
 ) -> DataFrame:
-    """Corridors with at least ten delivered items, worst average delay first.
+    """Corridors with at least ``floor`` delivered items, worst average delay first.
 
     Both sides of the join by order arrive from a shuffle of their own, so Spark
     can split an order that holds very many items.
@@ -179,7 +183,7 @@ def mart_delivery_analysis(
             percentage(F.col("is_on_time") == 0, 1).alias("late_pct"),
             mean(F.col("freight_value"), 2).alias("avg_freight_value"),
         )
-        .where(F.col("order_count") >= CORRIDOR_FLOOR)
+        .where(F.col("order_count") >= floor)
     )
     # One row per pair of states: the window holds at most states² rows.
     worst_first = Window.orderBy(

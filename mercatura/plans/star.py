@@ -178,12 +178,20 @@ def fact_payments(payments: DataFrame) -> DataFrame:
 
 
 def daily_orders(calendar: DataFrame, orders: DataFrame) -> DataFrame:
-    """Orders per calendar day, zero on days without any."""
+    """Orders per calendar day, zero on days without any.
+
+    No order drops out: days outside the calendar are rows of their own, and orders without
+    a day share one row without a day.
+    """
     per_day = orders.groupBy(F.to_date("order_purchase_timestamp").alias("full_date")).agg(
         F.count(F.lit(1)).alias("placed")
     )
-    return calendar.join(per_day, "full_date", "left").select(
-        "date_key", "full_date", F.coalesce("placed", F.lit(0)).alias("order_count")
+    days = calendar.select("date_key", F.col("full_date").alias("day"))
+    joined = days.join(per_day, F.col("day") == F.col("full_date"), "full_outer")
+    return joined.select(
+        F.coalesce("date_key", date_key(F.col("full_date"))).alias("date_key"),
+        F.coalesce("day", "full_date").alias("full_date"),
+        F.coalesce("placed", F.lit(0)).alias("order_count"),
     )
 
 

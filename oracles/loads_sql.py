@@ -14,6 +14,8 @@ from mercatura.plans.models import Models
 from mercatura.session import staged_path
 from mercatura.sources import raw_csv, tables
 from mercatura.sources.contracts import CONTRACTS
+from mercatura.sources.marketplace import RawTables
+from mercatura.sources.seeds import load_translation
 from mercatura.streaming.incremental import merge_stream
 from oracles.duck import key
 from oracles.models_sql import STG_ITEMS, STG_ORDERS, STG_REVIEWS
@@ -312,6 +314,28 @@ from m_sellers""",
 )
 
 
+def seeded_products(m: Models) -> DataFrame:
+    """Products per English category, translated by the seed as loaded from its file."""
+    path = staged_path(m.raw.spark, "seed")
+    write_csv(m.raw.category_translation, path)
+    raw = RawTables(
+        **{name: getattr(m.raw, name) for name in CONTRACTS if name != "category_translation"},
+        category_translation=load_translation(m.raw.spark, path),
+    )
+    english = F.col("category_name_en").alias("category_name_english")
+    products = Models(raw).stg_products.groupBy(english)
+    return products.agg(F.count(F.lit(1)).alias("product_count"))
+
+
+register(
+    "ing_seed",
+    "category_name_english s, product_count i",
+    seeded_products,
+    "select category_name_en as category_name_english, count(*) as product_count "
+    "from m_products group by all",
+)
+
+
 def contract_violations(m: Models) -> DataFrame:
     """Every 6th order has no id, every 10th a status that is too long."""
     order = F.col("order_id").cast("bigint")

@@ -44,6 +44,9 @@ SOURCES = {
     "mart_payment_behavior": "mart_payment",
     "mart_rfm_segmentation": "mart_rfm",
     "mart_seller_performance": "mart_seller",
+    "category_translation": "(select * from (values ('STANDARD', 'standard'), ('SMALL', 'small'), "
+    "('LARGE', 'large'), ('ECONOMY', 'economy'), ('MEDIUM', 'medium')) "
+    "v(product_category_name, product_category_name_english))",
     "labels": "labels",
     "documents": "documents",
 }
@@ -136,6 +139,13 @@ register(
     suite_sql(suites.MART_TESTS),
 )
 
+register(
+    "dq_seed_tests",
+    RESULT,
+    lambda m: run_suite(suites.SEED_TESTS, {n: getattr(m.raw, n) for n in suites.SEED_TESTS}),
+    suite_sql(suites.SEED_TESTS),
+)
+
 _LABELS = {"labels": [quality.relationship("doc_id", "documents", "doc_id")]}
 register(
     "dq_relationships",

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 import pytest
 
 from mercatura.plans import star
@@ -35,3 +37,13 @@ def test_fan_out_guard(spark):
     star.require_same_grain(left, right.distinct(), ["k"])
     with pytest.raises(ValueError, match="1 keys match more than once"):
         star.require_same_grain(left, right, ["k"])
+
+
+def test_orders_outside_the_calendar_stay(spark):
+    rows = [("2018-01-01 10:00:00",), ("2018-01-01 11:00:00",), ("2030-05-05 00:00:00",), (None,)]
+    orders = spark.createDataFrame(rows, "t string").select(
+        F.col("t").cast("timestamp_ntz").alias("order_purchase_timestamp")
+    )
+    calendar = star.dim_date(spark, dt.date(2018, 1, 1), dt.date(2018, 1, 2))
+    found = {r.date_key: r.order_count for r in star.daily_orders(calendar, orders).collect()}
+    assert found == {"20180101": 2, "20180102": 0, "20300505": 1, None: 1}
