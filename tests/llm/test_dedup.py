@@ -40,9 +40,8 @@ def test_exact_groups(spark, slots):
         digest = hashlib.sha256(lowered(text).encode()).digest()
         expected.append((doc_id, keep, len(same), doc_id == keep, digest))
     got = exact_dedup.find_groups(table(spark, EXACT).repartition(5), slots).collect()
-    assert sorted(map(str, map(tuple, got))) == sorted(
-        str((a, b, c, d, bytearray(e))) for a, b, c, d, e in expected
-    ) or sorted(str((r[0], r[1], r[2], r[3], bytes(r[4]))) for r in got) == sorted(map(str, expected))
+    found = [(r.doc_id, r.keep_id, r.group_size, r.kept, bytes(r.digest)) for r in got]
+    assert sorted(map(str, found)) == sorted(map(str, expected))
 
 
 @pytest.mark.parametrize("slots", [2, 1024])
