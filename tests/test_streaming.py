@@ -55,10 +55,10 @@ def test_updates_late_rows_and_repeats(spark):
 def test_a_backfill_gives_the_same_table_in_one_batch_or_many(spark):
     rows = [_row(i % 7, 40 * (i % 3), f"s{i}", i) for i in range(30)]
     found = []
-    for size in (30, 4):
+    for size, arriving in ((30, rows), (8, rows[::-1])):
         inbox, table, marks = (staged_path(spark, f) for f in ("inbox", "table", "marks"))
         for start in range(0, len(rows), size):
-            part = rows[len(rows) - start - size if size == 4 else 0 :][:size] if start + size <= 30 else rows[:2]
+            part = arriving[start : start + size]
             spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(inbox)
             got = _run(spark, inbox, table, marks)
         found.append(got)
