@@ -30,15 +30,17 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from mercatura.llm.common import free_name
+from mercatura.llm.common import free_name, small_batches
 
 # How byte-level vocabularies split a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 """Encodings a worker keeps between batches."""
 KEPT_BYTES = 64
 """Longest word whose encoding is kept."""
+KEPT_PAIRS = 200_000
+"""Answers about neighbouring tokens that a worker keeps."""
 
 
 def vocabulary_path() -> str:
@@ -117,7 +119,7 @@ class Vocabulary:
 
     def apart(self, left: int, right: int) -> bool:
         """Whether merging leaves two neighbouring tokens apart; answers are kept."""
-        if len(self.known) > 1_000_000:
+        if len(self.known) > KEPT_PAIRS:
             self.known.clear()
         answer = self.known[left << 32 | right] = self._apart(left, right, 1 << 60)
         return answer
@@ -237,6 +239,7 @@ def runs_of(texts: list[str | None], chars: int = 4_000_000) -> Iterator[list[st
 
 
 def _file(df: DataFrame, path: str | None) -> Broadcast[bytes]:
+    small_batches(df.sparkSession)
     with open(path or vocabulary_path(), "rb") as file:
         return df.sparkSession.sparkContext.broadcast(file.read())
 

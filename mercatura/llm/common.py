@@ -26,6 +26,13 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(FREE_SHUFFLES, before)
 
 
+def small_batches(spark: SparkSession, rows: int = 2_000, size: str = "8m") -> None:
+    """Hand rows to Python in batches of a few MB: with whole texts, the usual 10,000 rows are
+    tens of MB in the JVM, in Arrow and in each worker at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """A table in the shared folder with the rows of ``df``; survives lost executors.
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercatura.llm.common import free_name, stage
+from mercatura.llm.common import free_name, small_batches, stage
 from mercatura.llm.components import link_members, shared_buckets
 from mercatura.llm.word_hash import chunks, mix, word_hashes
 
@@ -231,6 +231,7 @@ def _differing(a: Column, b: Column) -> Column:
 def find_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id of its group)
     and kept (whether it is that document)."""
+    small_batches(docs.sparkSession)
     sketched = stage(sketch(docs, words), "sketches")
     distinct = sketched.where("digest is not null").dropDuplicates(["digest"])
     nodes = stage(

@@ -32,6 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercatura.llm.common import small_batches
 from mercatura.llm.word_hash import chunks
 
 SAMPLE = {1: 1_500, 0: 4_500}
@@ -47,7 +48,7 @@ SEGMENT = 24
 """Bytes of the segments a dictionary is put together from: a word or two."""
 THRESHOLDS = (2, 3, 4, 5)
 WINDOW, OVERLAP = 48, 16
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 CARRIER_WORDS = 12
 
 _PARAMETERS = zstandard.ZstdCompressionParameters(
@@ -241,6 +242,7 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the labelled documents outside the held-out fold."""
+    small_batches(docs.sparkSession)
     known = (
         labels.where("toxic is not null and doc_id is not null")
         .where(~held_out(F.col("doc_id")))
