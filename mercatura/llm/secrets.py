@@ -2,8 +2,9 @@
 
 Ordinary strings are cheap under a BPE vocabulary: its tokens are frequent pieces of text.
 Random strings are not, so few characters per token expose them. Known digests (hex of a
-hash's length, checksum prefixes), UUIDs and identifiers (strings whose parts are words or
-numbers) are left out first. Every text is settled in its own row.
+hash's length, checksum prefixes), UUIDs and strings without a letter are left out first; a
+number between separators counts as one token, and words in capitals between separators
+are read in small letters. Every text is settled in its own row.
 
 Defined results: a null or empty text has no spans. Positions are code points of the whole
 text, ends exclusive. Fixed patterns are always reported; a random string is reported
@@ -44,7 +45,8 @@ DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _CHECKSUM = re.compile(r"(?:md5|sha1|sha224|sha256|sha384|sha512)[-_=].*", re.IGNORECASE)
 _UUID = re.compile(r"[0-9a-f]{8}-?(?:[0-9a-f]{4}-?){3}[0-9a-f]{12}", re.IGNORECASE)
-_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_NUMBER = re.compile(r"(?<![A-Za-z0-9])[0-9]+(?![A-Za-z0-9])")
+_CAPITALS = re.compile(r"[A-Z]+(?:[_-]+(?:[A-Z]+|[0-9]+))+")
 
 
 def vocabulary_path() -> str:
@@ -63,15 +65,19 @@ def _encoding(content: bytes) -> tiktoken.Encoding:
 
 
 def known(string: str) -> bool:
-    """Whether the string is a digest, a UUID or an identifier made of words and numbers."""
+    """Whether the string is a digest, a UUID, or numbers and separators."""
     if _HEX_ONLY.fullmatch(string) and len(string) in DIGEST_LENGTHS:
         return True
     if _CHECKSUM.fullmatch(string) or _UUID.fullmatch(string):
         return True
-    if not any(c.isdigit() for c in string) or not any(c.isalpha() for c in string):
-        return True
-    parts = _PART.findall(string)
-    return sum(map(len, parts)) >= 4 * len(parts)  # long parts: words, dates, counters
+    return not any(c.isalpha() for c in string)
+
+
+def n_tokens(string: str, encoding: tiktoken.Encoding) -> int:
+    """Tokens of the string, numbers between separators being one each."""
+    if _CAPITALS.fullmatch(string):
+        string = string.lower()
+    return len(encoding.encode_ordinary(_NUMBER.sub("1", string)))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -99,7 +105,7 @@ def random_spans(
             at += 1
         if furthest > match.start() or known(match[0]):
             continue
-        if len(match[0]) < most * len(encoding.encode_ordinary(match[0])):
+        if len(match[0]) < most * n_tokens(match[0], encoding):
             found.append((match.start(), 3, match.end()))
     return found
 
