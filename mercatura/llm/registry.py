@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, exact_dedup, graph_index, licenses, line_dedup, mixing, near_dedup, secrets, sql
-from mercatura.llm import substring_dedup, toxicity
+from mercatura.llm import bit_planes, bpe, exact_dedup, fingerprints, graph_index, licenses, line_dedup, mixing
+from mercatura.llm import near_dedup, periodic_runs, secrets, sql, substring_dedup, toxicity
 from mercatura.llm.common import documents
 
 
@@ -67,8 +67,45 @@ def op10_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_bit_plane_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    found = bit_planes.inertia(bit_planes.cluster(vectors, clusters=8, rounds=10, scale=1024, seed="3"))
+    return found.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"),
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(documents(spark, folder))
+    return periodic_runs.digests(periodic_runs.runs_of(docs))
+
+
+def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.digests(fingerprints.compare_neighbours(documents(spark, folder)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_exact_dedup, op4_substring_dedup, op5_minhash_near_dedup, op6_bpe, op7_mix_sources, op8_toxicity, op9_graph_neighbours, op10_fuzzy_line_dedup)
+    f.__name__: f
+    for f in (
+        op1_license_scan,
+        op2_secret_scan,
+        op3_exact_dedup,
+        op4_substring_dedup,
+        op5_minhash_near_dedup,
+        op6_bpe,
+        op7_mix_sources,
+        op8_toxicity,
+        op9_graph_neighbours,
+        op10_fuzzy_line_dedup,
+        op11_bit_plane_clusters,
+        op12_periodic_runs,
+        op13_fingerprints,
+    )
 }
 
 SQL: dict[str, str] = {
@@ -76,4 +113,5 @@ SQL: dict[str, str] = {
     "op4_substring_dedup": sql.SUBSTRING_DEDUP,
     "op5_minhash_near_dedup": sql.NEAR_DEDUP,
     "op7_mix_sources": sql.MIX_SOURCES,
+    "op11_bit_plane_clusters": sql.CLUSTERS,
 }

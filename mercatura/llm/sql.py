@@ -102,3 +102,50 @@ SELECT doc_id, cast(len(words) AS bigint) AS n_words,
          ' ')) AS kept_sha256
 FROM worded LEFT JOIN gone_lists USING (row_no)
 """
+
+_ROUNDS = 10
+_NEAREST = """
+  SELECT vec_id, row_no, numbers, arg_min(centroid_no, (distance, centroid_no)) AS cluster, min(distance) AS distance
+  FROM (SELECT v.*, c.centroid_no,
+               list_sum([(numbers[i] - components[i]) * (numbers[i] - components[i]) for i in range(1, 65)]) AS distance
+        FROM vectors v, {centroids} c)
+  GROUP BY vec_id, row_no, numbers"""
+
+_ROUND = """
+nearest_{n} AS MATERIALIZED ({nearest}),
+sums_{n} AS (
+  SELECT cluster, place, sum(number) AS total, count(*) AS n
+  FROM (SELECT cluster, unnest(range(1, 65)) AS place, unnest(numbers) AS number FROM nearest_{n})
+  GROUP BY cluster, place),
+means_{n} AS (
+  SELECT cluster, list(cast((total - ((total % n) + n) % n) // n AS bigint) ORDER BY place) AS means
+  FROM sums_{n} GROUP BY cluster),
+centroids_{n} AS MATERIALIZED (
+  SELECT centroid_no, coalesce(means, components) AS components
+  FROM centroids_{before} LEFT JOIN means_{n} ON cluster = centroid_no),"""
+
+CLUSTERS = (
+    """
+WITH vectors AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS row_no,
+         [cast(floor(1024 * cast(x AS double)) AS bigint) for x in embedding] AS numbers
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([x for x in embedding if isfinite(x)]) = 64),
+centroids_0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, numbers) - 1 AS centroid_no,
+         numbers AS components
+  FROM vectors
+  QUALIFY centroid_no < 8),"""
+    + "".join(
+        _ROUND.format(n=n, before=n - 1, nearest=_NEAREST.format(centroids=f"centroids_{n - 1}"))
+        for n in range(1, _ROUNDS + 1)
+    )
+    + f"""
+assigned AS MATERIALIZED ({_NEAREST.format(centroids=f"centroids_{_ROUNDS}")})
+SELECT vec_id, cast(cluster AS integer) AS cluster, cast(distance AS bigint) AS distance,
+       cast(sum(distance) OVER (PARTITION BY cluster) AS bigint) AS cluster_inertia,
+       cast(sum(distance) OVER () AS bigint) AS inertia,
+       sha256(array_to_string(components, ',')) AS centroid_sha256
+FROM assigned JOIN centroids_{_ROUNDS} ON cluster = centroid_no
+"""
+)
