@@ -26,7 +26,7 @@ def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     if sorted(df.columns) != sorted(relation.columns):
         return f"columns {sorted(df.columns)} != {sorted(relation.columns)}"
     names = sorted(df.columns)
-    kinds = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
     kinds |= {"timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
     ours = {name: kinds.get(kind, kind) for name, kind in df.dtypes}
     theirs = dict(zip(relation.columns, map(str, relation.types)))
