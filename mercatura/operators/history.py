@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercatura.functions.calendar import at
+from mercatura.session import stage
 
 VALID_FROM, VALID_TO = "dbt_valid_from", "dbt_valid_to"
 
@@ -88,14 +89,69 @@ def current_rows(history: DataFrame) -> DataFrame:
     return history.where(F.col(VALID_TO).isNull())
 
 
-def as_of_join(facts: DataFrame, history: DataFrame, key: str, ts: str) -> DataFrame:
-    """Each fact with the version of ``key`` that was valid at ``ts``, if any.
+# monotonically_increasing_id has the partition's number above the row's 33 bits.
+_ROW_BITS = 33
 
-    An equi-join on the key with the period as a residual condition: a hash or
-    sort-merge join whose skewed fact partitions Spark can split.
+
+def _version_starts(history: DataFrame, key: str, backdate: bool) -> DataFrame:
+    """key, start and the other columns of each version; a backdated first version has no start."""
+    others = F.struct(*[c for c in history.columns if c != key]).alias("version")
+    versions = history.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), F.col(VALID_FROM).alias("start"), others
+    )
+    if not backdate:
+        return versions
+    firsts = versions.groupBy("key").agg(F.min("start").alias("first"))
+    opened = F.when(F.col("start") > F.col("first"), F.col("start"))
+    return versions.join(firsts, "key").select("key", opened.alias("start"), "version")
+
+
+def as_of_join(
+    facts: DataFrame, history: DataFrame, key: str, ts: str, backdate: bool = False
+) -> DataFrame:
+    """Each fact with the version of ``key`` that was valid at ``ts``, nulls if none was.
+
+    Versions and facts are sorted together by (key, time), by range, and a fact takes the last
+    version before it. Facts of one key, even of one instant, spread over as many
+    partitions as they need, as a hash of the fact is the end of the sort key. Inside a partition a
+    window carries the version on; into the next partitions goes the last version of each, one
+    row per partition. No fact meets a version it does not take, so a key of many facts and many
+    versions costs their sum.
+
+    The rows of ``facts`` stay what they are and as many as they are. Facts without a key or a time
+    have no version; with ``backdate``, a key's first version also covers all time before it.
+    Versions of one key must not overlap, and the columns besides the key have names of their own.
     """
-    versions = history.withColumnRenamed(key, "_key")
-    valid = (F.col(ts) >= F.col(VALID_FROM)) & (
-        F.col(VALID_TO).isNull() | (F.col(ts) < F.col(VALID_TO))
+    others = [c for c in history.columns if c != key]
+    if clash := sorted(set(others) & set(facts.columns)):
+        raise ValueError(f"columns in both facts and history: {clash}")
+    versions = _version_starts(history, key, backdate)
+    taken = facts.select(
+        F.col(key).alias("key"),
+        F.col(ts).alias("start"),
+        F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("fact"),
+    )
+    both = versions.unionByName(taken, allowMissingColumns=True)
+    both = both.withColumn("is_fact", F.col("fact").isNotNull())
+    order = [F.col("key"), F.col("start").asc_nulls_first(), "is_fact", F.xxhash64("fact")]
+    placed = stage(both.orderBy(*order).withColumn("place", F.monotonically_increasing_id()), "as-of")
+    placed = placed.withColumn("part", F.shiftright("place", _ROW_BITS))
+
+    in_part = Window.partitionBy("part", "key").orderBy("place")
+    placed = placed.withColumn(
+        "here", F.last("version", ignorenulls=True).over(in_part.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    version_place = F.when(~F.col("is_fact"), F.col("place"))
+    tails = placed.groupBy("part").agg(F.max_by(F.struct("key", "version"), version_place).alias("tail"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range partition of the sort: fits one task and a broadcast.
+    carried = tails.select("part", F.last("tail", ignorenulls=True).over(earlier).alias("before"))
+    found = placed.where("is_fact").join(F.broadcast(carried), "part", "left")
+    before = F.when(F.col("before.key") == F.col("key"), F.col("before.version"))
+    found = found.withColumn("version", F.coalesce("here", before))
+    ended = F.col("start") < F.col(f"version.{VALID_TO}")
+    valid = F.col("start").isNotNull() & (F.col(f"version.{VALID_TO}").isNull() | ended)
+    return found.select(
+        *[F.col("fact").getField(c).alias(c) for c in facts.columns],
+        *[F.when(valid, F.col("version").getField(c)).alias(c) for c in others],
     )
-    return facts.join(versions, (facts[key] == F.col("_key")) & valid, "left").drop("_key")

@@ -1,8 +1,10 @@
 """The star schema: dimensions, three facts at their own grain, and a daily series.
 
-Surrogate keys are hashes of natural keys, so a fact computes the keys of its
-dimensions instead of joining them: only what an item does not know itself (its
-order's customer and day) needs a join.
+Customers and sellers have a row per version, and a key per row: a hash of the business key and
+the moment the version opened. A fact takes the key of the version that was valid when the order
+was placed, found by one sort of facts and versions together, so a fact joins one row of
+each dimension. Products and days have no versions; their keys are hashes or dates that a fact
+computes itself.
 """
 
 from __future__ import annotations
@@ -15,8 +17,7 @@ from pyspark.sql import functions as F
 
 from mercatura.functions.calendar import days_between
 from mercatura.functions.keys import surrogate_key
-from mercatura.operators.history import with_current_flag
-from mercatura.plans.enrich import with_customer
+from mercatura.operators.history import VALID_FROM, VALID_TO, as_of_join, with_current_flag
 
 # The calendar's default range.
 FIRST_DAY, LAST_DAY = dt.date(2016, 1, 1), dt.date(2019, 12, 31)
@@ -61,9 +62,9 @@ def dim_date_spanning(facts: DataFrame, ts: str) -> DataFrame:
 
 
 def dim_customers(history: DataFrame) -> DataFrame:
-    """All versions of every customer; ``history`` comes from snapshots."""
+    """All versions of every customer, each with its key; ``history`` comes from snapshots."""
     return with_current_flag(history).select(
-        surrogate_key("customer_unique_id").alias("customer_key"),
+        surrogate_key("customer_id", VALID_FROM).alias("customer_key"),
         "customer_id",
         "customer_unique_id",
         "customer_city",
@@ -76,8 +77,9 @@ def dim_customers(history: DataFrame) -> DataFrame:
 
 
 def dim_sellers(history: DataFrame) -> DataFrame:
+    """All versions of every seller, each with its key."""
     return with_current_flag(history).select(
-        surrogate_key("seller_id").alias("seller_key"),
+        surrogate_key("seller_id", VALID_FROM).alias("seller_key"),
         "seller_id",
         "seller_city",
         "seller_state",
@@ -118,26 +120,39 @@ def _key_or_null(column: str):
     return F.when(F.col(column).isNotNull(), surrogate_key(column))
 
 
-def _order_keys(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    return with_customer(orders, customers, "customer_unique_id").withColumns(
-        {
-            "customer_key": _key_or_null("customer_unique_id"),
-            "date_key": date_key(F.col("order_purchase_timestamp")),
-        }
-    )
+def with_version_key(facts: DataFrame, dimension: DataFrame, ident: str, key: str, ts: str) -> DataFrame:
+    """``facts`` with the ``key`` of the version of ``ident`` valid at ``ts``.
+
+    What happened before a first snapshot was taken belongs to the first version. The key is
+    null only where the dimension has never seen the id, or the fact has no time.
+    """
+    versions = dimension.select(ident, key, VALID_FROM, VALID_TO)
+    return as_of_join(facts, versions, ident, ts, backdate=True).drop(VALID_FROM, VALID_TO)
 
 
-def fact_order_items(order_items: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """One row per item with the keys of all dimensions."""
-    keys = _order_keys(orders, customers).select(
-        "order_id", "order_key", "customer_key", "date_key"
-    )
-    return order_items.join(keys, "order_id", "left").select(
+def _order_keys(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    placed = "order_purchase_timestamp"
+    keyed = with_version_key(orders, customers, "customer_id", "customer_key", placed)
+    return keyed.withColumn("date_key", date_key(F.col(placed)))
+
+
+def fact_order_items(
+    order_items: DataFrame, orders: DataFrame, customers: DataFrame, sellers: DataFrame
+) -> DataFrame:
+    """One row per item with the keys of all dimensions; ``customers`` and ``sellers`` are the
+    dimensions with all their versions."""
+    placed = "order_purchase_timestamp"
+    narrow = orders.select("order_id", "order_key", "customer_id", placed)
+    keys = _order_keys(narrow, customers).drop("customer_id")
+    items = order_items.select(
+        "order_id", "order_item_id", "seller_id", "product_id", "price", "freight_value", "shipping_limit_date"
+    ).join(keys, "order_id", "left")
+    return with_version_key(items, sellers, "seller_id", "seller_key", placed).select(
         "order_id",
         "order_item_id",
         "order_key",
         "customer_key",
-        _key_or_null("seller_id").alias("seller_key"),
+        "seller_key",
         _key_or_null("product_id").alias("product_key"),
         "date_key",
         "price",
@@ -147,7 +162,8 @@ def fact_order_items(order_items: DataFrame, orders: DataFrame, customers: DataF
 
 
 def fact_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """One row per order; the on-time flag is null until delivery."""
+    """One row per order; the on-time flag is null until delivery. ``customers`` is the dimension
+    with all its versions."""
     placed, arrived = F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")
     estimated = F.col("order_estimated_delivery_date")
     return _order_keys(orders, customers).select(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercatura.plans import marts, star
+from mercatura.plans.models import Models
 from oracles.duck import avg_rr, key, pct_rr, rr, _BUCKET
 from oracles.loads_sql import CUSTOMER_HISTORY, SELLER_HISTORY, customer_history, seller_history
 from oracles.models_sql import CATEGORY, PAYMENT, SELLER
@@ -32,7 +34,7 @@ register(
     "customer_key s, customer_id i, customer_unique_id i, customer_city s, customer_state s, "
     "customer_zip_code_prefix s, dbt_valid_from t, dbt_valid_to t, is_current b",
     lambda m: star.dim_customers(customer_history(m)),
-    f"""select *, {key('customer_unique_id')} as customer_key,
+    f"""select *, {key('customer_id', 'dbt_valid_from')} as customer_key,
        zip_code_prefix as customer_zip_code_prefix, dbt_valid_to is null as is_current
 from {CUSTOMER_HISTORY}""",
 )
@@ -41,7 +43,8 @@ register(
     "seller_key s, seller_id i, seller_city s, seller_state s, seller_zip_code_prefix s, "
     "dbt_valid_from t, dbt_valid_to t, is_current b",
     lambda m: star.dim_sellers(seller_history(m)),
-    f"""select *, {key('seller_id')} as seller_key, zip_code_prefix as seller_zip_code_prefix,
+    f"""select *, {key('seller_id', 'dbt_valid_from')} as seller_key,
+       zip_code_prefix as seller_zip_code_prefix,
        dbt_valid_to is null as is_current
 from {SELLER_HISTORY}""",
 )
@@ -65,34 +68,69 @@ register(
     "select *, latitude as centroid_lat, longitude as centroid_lng from m_geo",
 )
 
-register(
-    "fact_order_items",
-    "order_id i, order_item_id i, order_key s, customer_key s, seller_key s, product_key s, "
-    "date_key s, price d, freight_value d, shipping_limit_date t",
-    lambda m: star.fact_order_items(m.stg_order_items, m.stg_orders, m.stg_customers),
-    f"""select i.order_id, i.order_item_id, {key('o.order_id')} as order_key,
-       {key('c.customer_unique_id')} as customer_key, {key('i.seller_id')} as seller_key,
+
+
+def _versions(history: str, ident: str) -> str:
+    """Versions with their keys and the time from which each one counts: the first one from ever."""
+    return f"""(select {ident} as ident, {key(ident, 'dbt_valid_from')} as version_key, dbt_valid_to,
+       case when dbt_valid_from > min(dbt_valid_from) over (partition by {ident}) then dbt_valid_from
+            else timestamp '0001-01-01' end as counts_from
+from {history})"""
+
+
+def _then(alias: str, ident: str, placed: str) -> str:
+    return f"""{alias}.ident = {ident} and {placed} >= {alias}.counts_from
+  and ({alias}.dbt_valid_to is null or {placed} < {alias}.dbt_valid_to)"""
+
+
+def items_fact(m: Models) -> DataFrame:
+    return star.fact_order_items(
+        m.stg_order_items,
+        m.stg_orders,
+        star.dim_customers(customer_history(m)),
+        star.dim_sellers(seller_history(m)),
+    )
+
+
+def orders_fact(m: Models) -> DataFrame:
+    return star.fact_orders(m.stg_orders, star.dim_customers(customer_history(m)))
+
+
+_ITEMS_FACT = f"""(
+select i.order_id, i.order_item_id, {key('o.order_id')} as order_key,
+       c.version_key as customer_key, s.version_key as seller_key,
        {key('i.product_id')} as product_key,
        strftime(o.order_purchase_timestamp, '%Y%m%d') as date_key,
        price_c / 1e2 as price, freight_c / 1e2 as freight_value, i.shipping_limit_date
 from m_items i left join m_orders o on i.order_id = o.order_id
-left join m_customers c on o.customer_id = c.customer_id""",
-)
-register(
-    "fact_orders",
-    "order_id i, order_key s, customer_key s, date_key s, order_status s, delivery_days d, "
-    "estimated_delivery_days i, is_delivered_on_time b, order_purchase_timestamp t, "
-    "order_delivered_customer_date t, order_estimated_delivery_date t",
-    lambda m: star.fact_orders(m.stg_orders, m.stg_customers),
-    f"""select o.*, {key('o.order_id')} as order_key,
-       {key('c.customer_unique_id')} as customer_key,
+left join {_versions(CUSTOMER_HISTORY, 'customer_id')} c
+  on {_then('c', 'o.customer_id', 'o.order_purchase_timestamp')}
+left join {_versions(SELLER_HISTORY, 'seller_id')} s
+  on {_then('s', 'i.seller_id', 'o.order_purchase_timestamp')})"""
+_ORDERS_FACT = f"""(
+select o.*, {key('o.order_id')} as order_key, c.version_key as customer_key,
        strftime(order_purchase_timestamp, '%Y%m%d') as date_key,
        date_diff('day', order_purchase_timestamp, order_delivered_customer_date)
          as delivery_days,
        date_diff('day', order_purchase_timestamp, order_estimated_delivery_date)
          as estimated_delivery_days,
        order_delivered_customer_date <= order_estimated_delivery_date as is_delivered_on_time
-from m_orders o left join m_customers c on o.customer_id = c.customer_id""",
+from m_orders o left join {_versions(CUSTOMER_HISTORY, 'customer_id')} c
+  on {_then('c', 'o.customer_id', 'o.order_purchase_timestamp')})"""
+register(
+    "fact_order_items",
+    "order_id i, order_item_id i, order_key s, customer_key s, seller_key s, product_key s, "
+    "date_key s, price d, freight_value d, shipping_limit_date t",
+    items_fact,
+    f"select * from {_ITEMS_FACT}",
+)
+register(
+    "fact_orders",
+    "order_id i, order_key s, customer_key s, date_key s, order_status s, delivery_days d, "
+    "estimated_delivery_days i, is_delivered_on_time b, order_purchase_timestamp t, "
+    "order_delivered_customer_date t, order_estimated_delivery_date t",
+    orders_fact,
+    f"select * from {_ORDERS_FACT}",
 )
 register(
     "fact_payments",
@@ -124,6 +162,36 @@ register(
 from m_orders o left join m_payments p on o.order_id = p.order_id""",
 )
 
+def _grain(fact: str, history: str, ident: str, fact_key: str) -> str:
+    """The join itself, and its keys that match several versions."""
+    versions = _versions(history, ident)
+    return f"""select (select count(*) from {fact}) as rows_before, count(*) as rows_after,
+       (select count(*) from (select version_key from {versions}
+          where version_key in (select {fact_key} from {fact}) group by 1 having count(*) > 1))
+         as fanned_out_keys, count(v.version_key) as matched
+from {fact} f left join {versions} v on f.{fact_key} = v.version_key"""
+
+
+def _grain_of(fact: DataFrame, dimension: DataFrame, key_column: str) -> DataFrame:
+    seen = star.join_fan_out(fact, dimension, [key_column])
+    known = dimension.select(key_column).distinct()
+    matched = fact.join(known, key_column, "left_semi").agg(F.count(F.lit(1)).alias("matched"))
+    return seen.withColumn("one", F.lit(1)).join(matched.withColumn("one", F.lit(1)), "one")
+
+
+register(
+    "star_customer_grain",
+    "rows_before i, rows_after i, fanned_out_keys i, matched i",
+    lambda m: _grain_of(orders_fact(m), star.dim_customers(customer_history(m)), "customer_key"),
+    _grain(_ORDERS_FACT, CUSTOMER_HISTORY, "customer_id", "customer_key"),
+)
+register(
+    "star_seller_grain",
+    "rows_before i, rows_after i, fanned_out_keys i, matched i",
+    lambda m: _grain_of(items_fact(m), star.dim_sellers(seller_history(m)), "seller_key"),
+    _grain(_ITEMS_FACT, SELLER_HISTORY, "seller_id", "seller_key"),
+)
+
 # ── Marts with an order counted once per group ───────────────────────────────
 
 register(

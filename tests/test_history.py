@@ -108,3 +108,64 @@ def test_snapshots_need_a_unique_key(spark):
         with pytest.raises(history.SnapshotKeyError, match=told):
             history.require_snapshot_key(spark.createDataFrame(rows, "k int"), "k")
     assert history.require_snapshot_key(spark.range(3), "id").count() == 3
+
+
+def _plain(rows, versions, backdate=False):
+    """The version of each fact by looking at all versions of its key."""
+    out = []
+    for fact, key, ts in rows:
+        found = None
+        mine = sorted(v for v in versions if v[0] == key and key is not None)
+        for at, (_, start, end, name) in enumerate(mine):
+            began = ts is not None and (start <= ts or (backdate and at == 0))
+            if began and (end is None or ts < end):
+                found = name
+        out.append((fact, found))
+    return out
+
+
+@pytest.mark.parametrize("backdate", [False, True])
+def test_as_of_join_with_hot_keys_nulls_gaps_and_ties(spark, backdate):
+    """A third of the facts have one key, and half of these one instant."""
+    day = dt.timedelta(days=1)
+    versions = [(1, R1 + i * day, R1 + (i + 1) * day, f"v{i}") for i in range(50)]
+    versions += [(2, R1, R1 + day, "a"), (2, R1 + 3 * day, None, "b"), (3, R2, None, "c")]
+    rows = [(i, 1, R1 + 7 * day if i % 2 else R1 + (i % 60) * day) for i in range(400)]
+    rows += [(1000 + i, 2 + i % 3, R1 + (i % 40 - 5) * day) for i in range(700)]
+    rows += [(2000, None, R1), (2001, 2, None), (2002, None, None), (2003, 1, R1 - day)] * 2
+    history_table = spark.createDataFrame(
+        versions, "id int, dbt_valid_from timestamp_ntz, dbt_valid_to timestamp_ntz, name string"
+    )
+    facts = spark.createDataFrame(rows, "fact int, id int, ts timestamp_ntz").repartition(5)
+    joined = history.as_of_join(facts, history_table, "id", "ts", backdate)
+    found = [(r.fact, r["name"]) for r in joined.collect()]
+    assert sorted(found, key=str) == sorted(_plain(rows, versions, backdate), key=str)
+    assert joined.columns == ["fact", "id", "ts", "dbt_valid_from", "dbt_valid_to", "name"]
+    assert history.as_of_join(facts.limit(0), history_table, "id", "ts", backdate).count() == 0
+    assert history.as_of_join(facts, history_table.limit(0), "id", "ts", backdate).where("name is null").count() == len(rows)
+
+
+def test_as_of_join_spreads_a_hot_key(spark, monkeypatch):
+    """Facts of one key and one instant lie in several partitions of the sort."""
+    versions = spark.createDataFrame(
+        [(7, R1, None, "x")], "id int, dbt_valid_from timestamp_ntz, dbt_valid_to timestamp_ntz, name string"
+    )
+    facts = spark.range(0, 40_000, 1, 8).select(
+        F.col("id").alias("fact"), F.lit(7).alias("id"), F.lit(R2).cast("timestamp_ntz").alias("ts")
+    )
+    seen, stage, merge = [], history.stage, "spark.sql.adaptive.coalescePartitions.enabled"
+    monkeypatch.setattr(history, "stage", lambda df, label: seen.append(stage(df, label)) or seen[-1])
+    spark.conf.set(merge, "false")  # so small a table would become one partition
+    try:
+        joined = history.as_of_join(facts, versions, "id", "ts")
+    finally:
+        spark.conf.set(merge, "true")
+    sizes = [r["count"] for r in seen[0].groupBy(F.shiftright("place", 33).alias("p")).count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 20_000
+    assert joined.where("name = 'x'").count() == 40_000
+
+
+def test_names_must_not_clash(spark, versions):
+    facts = spark.createDataFrame([(1, "a", R1)], "id int, city string, ts timestamp_ntz")
+    with pytest.raises(ValueError, match="city"):
+        history.as_of_join(facts, versions, "id", "ts")

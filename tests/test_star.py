@@ -47,3 +47,21 @@ def test_orders_outside_the_calendar_stay(spark):
     calendar = star.dim_date(spark, dt.date(2018, 1, 1), dt.date(2018, 1, 2))
     found = {r.date_key: r.order_count for r in star.daily_orders(calendar, orders).collect()}
     assert found == {"20180101": 2, "20180102": 0, "20300505": 1, None: 1}
+
+
+def test_keys_are_unique_per_version_and_facts_take_one(spark):
+    day = lambda n: dt.datetime(2018, 1, 1) + dt.timedelta(days=n)
+    versions = spark.createDataFrame(
+        [(1, "A", day(10), day(20)), (1, "B", day(20), None), (2, "A", day(10), None)],
+        "seller_id int, seller_city string, dbt_valid_from timestamp_ntz, dbt_valid_to timestamp_ntz",
+    ).select("*", F.lit("S").alias("seller_state"), F.lit("1").alias("zip_code_prefix"))
+    sellers = star.dim_sellers(versions)
+    assert sellers.select("seller_key").distinct().count() == 3
+    facts = spark.createDataFrame(
+        [(1, 1, day(5)), (2, 1, day(19)), (3, 1, day(20)), (4, 2, day(99)), (5, 3, day(12)), (6, 2, None)],
+        "item int, seller_id int, ts timestamp_ntz",
+    )
+    keyed = star.with_version_key(facts, sellers, "seller_id", "seller_key", "ts")
+    star.require_same_grain(keyed, sellers, ["seller_key"])
+    joined = keyed.join(sellers.drop("seller_id"), "seller_key", "left")
+    assert {r.item: r.seller_city for r in joined.collect()} == {1: "A", 2: "A", 3: "B", 4: "A", 5: None, 6: None}
