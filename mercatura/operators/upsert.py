@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from mercatura.operators.dedupe import first_per_key
 from mercatura.session import drop_path, path_exists, stage
+from mercatura.sources import versions
+from mercatura.sources.versions import Version
 
 
 def recent(source: DataFrame, target: DataFrame, ts: str, lookback_days: int = 3) -> DataFrame:
@@ -28,11 +30,17 @@ def recent(source: DataFrame, target: DataFrame, ts: str, lookback_days: int = 3
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not in the batch, plus the batch.
 
-    The batch has one row per key. Keys compare null-safe only in the sense of a
-    merge: a null key matches nothing and is inserted.
+    The batch has one row per key. Keys compare null-safe, so a row without a key replaces the stored
+    one without, and a batch that is merged again changes nothing.
     """
-    kept = target.join(batch.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(batch)
+    return _by_key(target, batch, keys, "left_anti").unionByName(batch)
+
+
+def _by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Target rows that have (left_semi) or have not (left_anti) a batch row of their key."""
+    named = batch.select(*[F.col(k).alias(f"_of_{i}") for i, k in enumerate(keys)])
+    same = [target[k].eqNullSafe(named[f"_of_{i}"]) for i, k in enumerate(keys)]
+    return target.join(named, reduce(lambda a, b: a & b, same), how)
 
 
 def changes(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -83,13 +91,8 @@ def upsert_partitions(
     # With the batch's schema, folder names such as '08' stay text.
     target = spark.read.schema(batch.schema).parquet(path)
     if newest_first:
-        stored = target.join(batch.select(*keys), list(keys), "left_semi")
-        batch = stage(first_per_key(stored.unionByName(batch), keys, newest_first), "batch")
-    places = batch.select(*partition_columns)
-    if keys_move:
-        older = target.join(batch.select(*keys), list(keys), "left_semi")
-        places = places.unionByName(older.select(*partition_columns))
-    touched = places.distinct().collect()  # at most one row per partition folder
+        batch = _newest(target, batch, keys, newest_first)
+    touched = _touched(target, batch, keys, partition_columns, keys_move)
     if not touched:
         return
     merged = stage(upsert(target.where(_in_partitions(touched)), batch, keys), "merged")
@@ -106,6 +109,60 @@ def upsert_partitions(
             drop_path(spark, _partition_path(path, row))
 
 
+def _newest(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]
+) -> DataFrame:
+    """One row per key of the batch: the first of the stored and the new ones."""
+    stored = _by_key(target, batch, keys, "left_semi")
+    return stage(first_per_key(stored.unionByName(batch), keys, newest_first), "batch")
+
+
+def _touched(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    partition_columns: Sequence[str],
+    keys_move: bool,
+) -> list[Row]:
+    """The partitions that hold a batch row or an older copy of one: at most one row per folder."""
+    places = batch.select(*partition_columns)
+    if keys_move:
+        older = _by_key(target, batch, keys, "left_semi")
+        places = places.unionByName(older.select(*partition_columns))
+    return places.distinct().collect()
+
+
+def upsert_version(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    partition_columns: Sequence[str],
+    keys_move: bool = True,
+    newest_first: Sequence[Column] = (),
+) -> Version:
+    """Merge ``batch`` into the versioned table at ``path``; returns the version that holds it.
+
+    The rules are those of ``upsert_partitions``. The touched partitions are written beside the old ones
+    and the next version names them instead, all at once: readers go on with the version they have,
+    and a writer that dies at any step leaves the newest one as it was. Rows are written
+    once, as nothing that is read is replaced.
+    """
+    base = versions.latest(spark, path)
+    if base is None:
+        return versions.replace(batch, path, partition_columns)
+    batch = stage(batch, "batch")
+    target = versions.read(spark, path, base)
+    if newest_first:
+        batch = _newest(target, batch, keys, newest_first)
+    touched = _touched(target, batch, keys, partition_columns, keys_move)
+    if not touched:
+        return base
+    folders = [versions.folder_of(row) for row in touched]
+    old = versions.read(spark, path, versions.only(base, folders))
+    return versions.replace_partitions(upsert(old, batch, keys), path, base, partition_columns, folders)
+
+
 def _in_partitions(rows: Sequence[Row]) -> Column:
     """Whether a row lies in one of the partitions; flat lists of values, however many."""
     by_rest: dict[tuple, list] = {}

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from mercatura.operators.history import apply_snapshot, first_snapshot, require_snapshot_key
 from mercatura.operators.quality import append_failures, check_freshness, failures, require_passed
-from mercatura.operators.upsert import recent, upsert_partitions
+from mercatura.operators.upsert import recent, upsert_version
 from mercatura.plans import staging, suites
 from mercatura.plans.models import Models
 from mercatura.plans.testing import check_models, run_suite
-from mercatura.session import drop_staged, path_exists, recover
+from mercatura.session import drop_staged
+from mercatura.sources import versions
 from mercatura.sources.contracts import CONTRACTS, Contract
 from mercatura.sources.marketplace import RawTables
 from mercatura.sources.raw_csv import apply_contract, cast_timestamps
@@ -35,6 +36,9 @@ INCREMENTAL = {
     "stg_reviews": (["review_key"], "review_creation_date"),
 }
 
+KEPT_VERSIONS = 3
+"""Versions of a stored model that readers may still be pinned to."""
+
 # Fixed values. Snapshots: staging model, business key and checked columns.
 SNAPSHOTS = {
     "customers": ("stg_customers", "customer_id", ["customer_city", "customer_state"]),
@@ -73,12 +77,12 @@ def update_staging(spark: SparkSession, models: Models, folder: str) -> dict[str
     stored = {}
     for name, (keys, ts) in INCREMENTAL.items():
         path, batch = f"{folder}/{name}", getattr(models, name)
-        if path_exists(spark, path):
-            stored_rows = spark.read.schema(batch.schema).parquet(path)
-            batch = increment(models, name, stored_rows, ts)
+        if versions.latest(spark, path) is not None:
+            batch = increment(models, name, versions.read(spark, path), ts)
         by_month = batch.withColumn("partition_month", F.date_format(ts, "yyyy-MM"))
-        upsert_partitions(spark, path, by_month, keys, ["partition_month"])
-        stored[name] = spark.read.schema(by_month.schema).parquet(path).drop("partition_month")
+        made = upsert_version(spark, path, by_month, keys, ["partition_month"])
+        stored[name] = versions.read(spark, path, made).drop("partition_month")
+        versions.expire(spark, path, KEPT_VERSIONS)
     return stored
 
 
@@ -89,17 +93,16 @@ def update_snapshots(
     stored = {}
     for name, (model, key, checks) in SNAPSHOTS.items():
         path = f"{folder}/{name}"
-        recover(spark, path)
         current = getattr(models, model).drop("customer_key", "seller_key")
         current = require_snapshot_key(current, key)
-        if path_exists(spark, path):
-            history = spark.read.parquet(path)
+        if versions.latest(spark, path) is not None:
+            history = versions.read(spark, path)
             after = apply_snapshot(history, current, key, ["zip_code_prefix", *checks], run_ts)
-            # The new history is whole before it takes the place of the one being read.
-            write_table(after, path, sort_key=key)
         else:
-            write_table(first_snapshot(current, run_ts), path, sort_key=key)
-        stored[name] = spark.read.parquet(path)
+            after = first_snapshot(current, run_ts)
+        made = versions.replace(after, path, sort_key=key)
+        stored[name] = versions.read(spark, path, made)
+        versions.expire(spark, path, KEPT_VERSIONS)
     return stored
 
 
@@ -126,6 +129,19 @@ def daily_run(
     end, the tests of seeds, staging, intermediate models and marts are run, failures
     are recorded, and any of them fails the run. Returns the results.
     """
+    try:
+        return _daily_run(spark, raw_files, warehouse, run_ts, suite)
+    finally:
+        drop_staged(spark)
+
+
+def _daily_run(
+    spark: SparkSession,
+    raw_files: str,
+    warehouse: str,
+    run_ts: dt.datetime,
+    suite: Mapping[str, Sequence[dict]],
+) -> DataFrame:
     processed, raw = f"{warehouse}/processed", f"{warehouse}/raw"
     all_null: dict[str, list[str]] = {}
 
@@ -157,10 +173,7 @@ def daily_run(
     update_snapshots(spark, computed, f"{warehouse}/snapshots", run_ts)
     marts = build_marts(spark, Models(tables, **stored), f"{warehouse}/marts")
     tested = check_all(Models(tables, **stored), tables, marts)
-    try:
-        return enforce(tested, run_ts, f"{warehouse}/audit")
-    finally:
-        drop_staged(spark)
+    return enforce(tested, run_ts, f"{warehouse}/audit")
 
 
 def check_all(models: Models, raw: RawTables, marts: Mapping[str, DataFrame]) -> DataFrame:

@@ -75,28 +75,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def publish(spark: SparkSession, made: str, path: str) -> None:
-    """Put the finished folder ``made`` in the place of ``path``.
+    """Put the finished folder ``made`` in the place of ``path``; one writer at a time.
 
     The old folder steps aside first and is deleted last, so at any moment a whole
-    version is at ``path`` or beside it, where ``recover`` finds it.
+    version is at ``path`` or beside it, where the next writer's ``recover`` finds it. Between
+    the two renames there is no table: tables that must be readable at any moment are
+    kept in versions (``sources.versions``).
     """
     recover(spark, path)
-    aside = f"{path}.before"
     if path_exists(spark, path):
-        _rename(spark, path, aside)
+        _rename(spark, path, aside(path))
+    if path_exists(spark, path):  # a rename would put the new folder inside this one
+        raise RuntimeError(f"another writer has made {path}; {made} is whole and not published")
     _rename(spark, made, path)
-    drop_path(spark, aside)
+    drop_path(spark, aside(path))
+
+
+def aside(path: str) -> str:
+    """Where the old folder is while a new one takes its place."""
+    return f"{path}.before"
 
 
 def recover(spark: SparkSession, path: str) -> None:
     """Finish or undo a ``publish`` that was cut short: the old version returns if the new one
-    never took its place."""
-    aside = f"{path}.before"
-    if path_exists(spark, aside):
+    never took its place. For writers only: a reader might meet a writer at work."""
+    if path_exists(spark, aside(path)):
         if path_exists(spark, path):
-            drop_path(spark, aside)
+            drop_path(spark, aside(path))
         else:
-            _rename(spark, aside, path)
+            _rename(spark, aside(path), path)
 
 
 def _rename(spark: SparkSession, source: str, target: str) -> None:

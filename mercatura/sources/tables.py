@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.session import drop_path, publish, recover
+from mercatura.session import aside, drop_path, path_exists, publish
 from mercatura.sources.contracts import CONTRACTS, Contract
 from mercatura.sources.raw_csv import (
     MALFORMED,
@@ -89,9 +89,13 @@ def write_table(
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A stored table; fails when it has no rows."""
-    recover(spark, path)
-    return require_rows(spark.read.parquet(path), path)
+    """A stored table; fails when it has no rows.
+
+    Between the two renames of a writer, or after one that died there, this is the old table where it
+    stepped aside; a reader never moves it.
+    """
+    here = path if path_exists(spark, path) or not path_exists(spark, aside(path)) else aside(path)
+    return require_rows(spark.read.parquet(here), path)
 
 
 def read_partitions(spark: SparkSession, path: str, year: str, month: str) -> DataFrame:
