@@ -6,12 +6,14 @@ import csv
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercatura.functions.calendar import parse_timestamp
+from mercatura.sources import quoted_csv
 from mercatura.sources.contracts import Contract
 
 # What a column of mixed types is split into.
@@ -23,57 +25,107 @@ MALFORMED = "_malformed"
 """Text of a row with more or fewer fields than its file's header; null for all others."""
 
 
-def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """The files under ``path`` by the names in their first line; only that line is read."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [s for s in files.listStatus(root) if s.isFile()]
-    found = [s.getPath() for s in found if s.getPath().getName()[0] not in "._"]
+class HeaderMissing(RuntimeError):
+    """A delivered file has no header, so nothing tells what its rows are."""
 
-    def header(file) -> tuple[str, ...]:
-        stream = files.open(file)
+
+class SourceFile(NamedTuple):
+    name: str
+    size: int
+    header: tuple[str, ...]
+    blank_start: bool
+
+
+def _files(spark: SparkSession, path: str) -> list[SourceFile]:
+    """The files under ``path``, in subfolders too, with the names in their first line that has any text.
+
+    Only the start of each file is read. Compressed files are opened by the codec of their
+    ending. Names that start with a dot or an underscore are not data.
+    """
+    hadoop = spark._jvm.org.apache.hadoop
+    conf = spark._jsc.hadoopConfiguration()
+    root = hadoop.fs.Path(path)
+    files = root.getFileSystem(conf)
+    codecs = hadoop.io.compress.CompressionCodecFactory(conf)
+    found, folders = [], [root]
+    while folders:
+        for status in files.listStatus(folders.pop()):
+            if status.getPath().getName()[0] in "._":
+                continue
+            (folders if status.isDirectory() else found).append(
+                status.getPath() if status.isDirectory() else status
+            )
+
+    def first_line(status) -> SourceFile:
+        file = status.getPath()
+        stream, codec = files.open(file), codecs.getCodec(file)
+        if codec is not None:
+            stream = codec.createInputStream(stream)
         reader = spark._jvm.java.io.BufferedReader(
             spark._jvm.java.io.InputStreamReader(stream, "UTF-8")
         )
         try:
-            names = next(csv.reader([reader.readLine() or ""]), [])
+            line, blank = reader.readLine(), False
+            while line is not None and not line.strip("\ufeff\r\n "):
+                line, blank = reader.readLine(), True
         finally:
             reader.close()
-        return tuple(name.strip("\ufeff\r\n\"' ") for name in names)
+        if line is None:
+            raise HeaderMissing(f"{file.toString()} has no header")
+        names = next(csv.reader([line.lstrip("\ufeff")]), [])
+        header = tuple(name.strip("\ufeff\r\n\"' ") for name in names)
+        return SourceFile(file.toString(), status.getLen(), header, blank)
 
     with ThreadPoolExecutor(16) as pool:
-        names = list(pool.map(header, found))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, columns in zip(found, names):
-        if columns:
-            groups.setdefault(columns, []).append(file.toString())
-    return groups
+        return list(pool.map(first_line, found))
 
 
-def read_files(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_files(
+    spark: SparkSession,
+    path: str,
+    multiline: bool = False,
+    split_above: int | None = None,
+    block_bytes: int | None = None,
+) -> DataFrame:
     """Every column as text, by the header of its own file, and ``MALFORMED``.
 
     Files with the same header are read together; others are united by name, so order
     and number of columns may differ from file to file. Comma, double quotes, an optional
-    BOM. ``multiline`` allows line breaks inside quotes at the price of one task per file.
+    BOM. ``multiline`` allows line breaks inside quotes. A file of more than ``split_above`` bytes (a block, if not
+    given) is then read by a task per block, see ``quoted_csv``, as are files that start with a blank line;
+    smaller ones, and those whose quotes do not come in pairs, by one task each. ``block_bytes`` sets
+    the size of a block.
     """
+    groups: dict[tuple[str, ...], list[SourceFile]] = {}
+    for file in _files(spark, path):
+        groups.setdefault(file.header, []).append(file)
+    if split_above is None:
+        split_above = block_bytes or quoted_csv.session_block(spark)
     parts = []
-    for columns, files in sorted(_headers(spark, path).items()):
+    for columns, files in sorted(groups.items()):
         if len(set(columns)) < len(columns):
-            raise ValueError(f"{files[0]} names a column twice: {columns}")
-        fields = [T.StructField(name, T.StringType()) for name in (*columns, MALFORMED)]
-        part = spark.read.csv(
-            files,
-            schema=T.StructType(fields),
-            header=True,
-            quote='"',
-            escape='"',
-            multiLine=multiline,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=MALFORMED,
-        )
-        parts.append(part)
+            raise ValueError(f"{files[0].name} names a column twice: {columns}")
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in (*columns, MALFORMED)])
+        # Spark takes the first line for the header, blank or not; the records reader does not.
+        large = [f.name for f in files if f.blank_start or (multiline and f.size > split_above)]
+        if large:
+            odd = quoted_csv.odd_files(spark, large)
+            large = [name for name in large if name not in odd]
+        small = [f.name for f in files if f.name not in set(large)]
+        if large:
+            parts.append(quoted_csv.read(spark, large, schema, MALFORMED, block_bytes))
+        if small:
+            part = spark.read.csv(
+                small,
+                schema=schema,
+                header=True,
+                quote='"',
+                escape='"',
+                multiLine=multiline,
+                mode="PERMISSIVE",
+                columnNameOfCorruptRecord=MALFORMED,
+            )
+            parts.append(part)
     if not parts:
         raise RuntimeError(f"{path} has no rows: check that the source was delivered")
     united = merge_drift(parts)

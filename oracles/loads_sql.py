@@ -12,7 +12,7 @@ from mercatura.operators import history, upsert
 from mercatura.plans.daily import increment
 from mercatura.plans.models import Models
 from mercatura.session import staged_path
-from mercatura.sources import raw_csv, tables
+from mercatura.sources import raw_csv, tables, versions
 from mercatura.sources.contracts import CONTRACTS
 from mercatura.sources.marketplace import RawTables
 from mercatura.sources.seeds import load_translation
@@ -96,6 +96,33 @@ from m_raw_reviews""",
 )
 
 
+def split_quotes(m: Models) -> DataFrame:
+    """Reviews in one file, with line breaks, quotes and separators in their messages, read by many tasks."""
+    spark, path = m.raw.spark, staged_path(m.raw.spark, "quoted")
+    message = F.col("review_comment_message")
+    broken = as_text(m.raw.reviews).withColumn(
+        "review_comment_message",
+        F.when(F.col("review_id") % 3 == 0, F.concat(message, F.lit('\nsaid "no",\n\n'), message)).otherwise(message),
+    )
+    write_csv(broken.coalesce(1), path)
+    return raw_csv.read_files(spark, path, multiline=True, split_above=0, block_bytes=50_000).drop(raw_csv.MALFORMED)
+
+
+register(
+    "ing_split_quotes",
+    "review_id s, order_id s, review_score s, review_comment_title s, "
+    "review_comment_message s, review_creation_date s, review_answer_timestamp s",
+    split_quotes,
+    f"""select review_id, order_id, review_score, comment_title as review_comment_title,
+       case when review_id % 3 = 0
+            then comment_message || chr(10) || 'said "no",' || chr(10) || chr(10) || comment_message
+            else comment_message end as review_comment_message,
+       {_text('review_creation_date')} as review_creation_date,
+       {_text('review_answer_timestamp')} as review_answer_timestamp
+from m_raw_reviews""",
+)
+
+
 def schema_drift(m: Models) -> DataFrame:
     """Two deliveries: the earlier one has no approval column."""
     spark, orders = m.raw.spark, raw_orders(m)
@@ -462,6 +489,31 @@ register(
 )
 
 
+def versioned_orders(m: Models) -> DataFrame:
+    """Both versions of a table, the first one read after the second was made."""
+    spark, path = m.raw.spark, staged_path(m.raw.spark, "versions")
+    old = upsert.upsert_version(spark, path, by_month(first_orders(m)), ["order_key"], ["purchase_month"])
+    batch = by_month(order_batch(m, versions.read(spark, path, old)))
+    new = upsert.upsert_version(spark, path, batch, ["order_key"], ["purchase_month"])
+    return versions.read(spark, path, old.number).withColumn("version", F.lit(1)).unionByName(
+        versions.read(spark, path, new.number).withColumn("version", F.lit(2))
+    )
+
+
+register(
+    "upsert_version_read",
+    STG_ORDERS + ", purchase_month s, version i",
+    versioned_orders,
+    f"""select *, strftime(order_purchase_timestamp, '%Y-%m') as purchase_month
+from (select *, 2 as version from ({UPSERTED_ORDERS})
+union all
+select o.* replace (case when order_purchase_timestamp > timestamp '{CUT}' - interval 10 days
+                         then 'processing' else order_status end as order_status),
+       {key('order_id')} as order_key, 1 as version
+from m_orders o where order_purchase_timestamp <= timestamp '{CUT}')""",
+)
+
+
 def upserted_items(m: Models) -> DataFrame:
     """First run without the newest items and with a wrong price on all others."""
     ts = F.col("shipping_limit_date")

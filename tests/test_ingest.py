@@ -1,11 +1,13 @@
 """Raw files: odd encodings, split columns, contracts, partitions, reloads."""
 
 import datetime as dt
+import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from mercatura.sources import raw_csv, tables
+from mercatura.sources import quoted_csv, raw_csv, tables
 from mercatura.sources.contracts import CONTRACTS, Contract
 from mercatura.sources.seeds import load_translation
 
@@ -245,3 +247,68 @@ def test_numeric_variants_and_session_zones(spark):
         assert raw_csv.cast_timestamps(text, ["at"]).first().at == dt.datetime(2017, 10, 15, 0, 30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def quoted_file(count, ending="\n"):
+    """Records with line breaks, doubled quotes, separators and empty lines inside quotes."""
+    rng = random.Random(count)
+    lines = ["a,b,c"]
+    for i in range(count):
+        inner = rng.choice(["plain", "two\nlines", "a\n\n\nb", 'said ""no""', '""', "x,y", "\n", "," * 3, "é\nü" * 30])
+        field = inner if inner == "plain" else f'"{inner}"'
+        lines.append(rng.choice([f"{i},{field},end", f'{i},{field},"last\n{i}"', f"{i},,{field}"]))
+    return (ending.join(lines) + ending).encode()
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+@pytest.mark.parametrize("block", [40, 333, 5_000, 1_000_000])
+def test_quoted_files_in_blocks_equal_whole_files(spark, folder, ending, block):
+    path = folder("t", quoted_file(150, ending), quoted_file(70, ending), b"a,b,c" + ending.encode())
+    whole = raw_csv.read_files(spark, path, multiline=True)
+    split = raw_csv.read_files(spark, path, multiline=True, split_above=0, block_bytes=block)
+    assert split.columns == whole.columns
+    assert rows_of(split) == rows_of(whole) and split.count() == 220
+
+
+def test_one_file_is_read_by_several_tasks(spark, folder, monkeypatch):
+    path, staged, stage = folder("t", quoted_file(400)), {}, quoted_csv.stage
+    monkeypatch.setattr(quoted_csv, "stage", lambda df, label: staged.setdefault(label, stage(df, label)))
+    raw_csv.read_files(spark, path, multiline=True, split_above=0, block_bytes=2_000)
+    assert staged["lines"].select("block").distinct().count() >= 4
+    assert staged["blocks"].where("inside = 1").count() >= 1
+
+
+def test_malformed_rows_and_odd_quotes_in_split_files(spark, folder):
+    bad = b'a,b,c\n1,"x\ny"\n2,"x\ny",z,w\n3,x,"y\n"\n'
+    path = folder("t", bad)
+    split = raw_csv.read_files(spark, path, multiline=True, split_above=0, block_bytes=10)
+    whole = raw_csv.read_files(spark, path, multiline=True)
+    marked = [r.a for r in split.collect() if r[raw_csv.MALFORMED] is not None]
+    assert sorted(marked) == ["1", "2"]
+    assert rows_of(split.drop(raw_csv.MALFORMED)) == rows_of(whole.drop(raw_csv.MALFORMED))
+    odd = folder("o", b'a,b\n1,5" pipe\n2,"x\ny"\n3,z\n', quoted_file(5).replace(b"a,b,c", b"a,b"))
+    plain = raw_csv.read_files(spark, odd, multiline=True)
+    assert rows_of(raw_csv.read_files(spark, odd, multiline=True, split_above=0, block_bytes=9).select("a")) == rows_of(
+        plain.select("a")
+    )
+
+
+def test_blank_first_lines_subfolders_and_compressed_files(spark, tmp_path):
+    root = tmp_path / "t"
+    (root / "sub" / "deep").mkdir(parents=True)
+    (root / "_logs").mkdir()
+    (root / "1.csv").write_bytes(b"a,b\n1,x\n")
+    (root / "2.csv").write_bytes(b"\n\r\na,b\n2,x\n")
+    (root / "sub" / "3.csv").write_bytes(b"b,a\nx,3\n")
+    (root / "sub" / "deep" / "4.csv.gz").write_bytes(gzip.compress(b'a,b\n4,"x\n"\n'))
+    (root / "_logs" / "5.csv").write_bytes(b"a,b\n5,x\n")
+    for options in ({}, {"split_above": 0, "block_bytes": 3}):
+        found = raw_csv.read_files(spark, str(root), multiline=True, **options)
+        assert sorted(r.a for r in found.collect()) == ["1", "2", "3", "4"]
+    (root / "empty.csv").write_bytes(b"\n\n")
+    with pytest.raises(raw_csv.HeaderMissing, match="empty.csv"):
+        raw_csv.read_files(spark, str(root))
