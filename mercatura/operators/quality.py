@@ -3,7 +3,8 @@
 A check is plain data: ``{"expectation_type": ..., "kwargs": {...}}``. All checks
 that look at single rows share one aggregation over the table. A uniqueness
 check needs the rows per value, a relationship the values without a parent; both
-count per value first, so a frequent value is combined on the map side.
+count per value first, so a frequent value is combined on the map side. A share of distinct values
+with ``"approximate": true`` comes from a sketch in the shared aggregation instead.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercatura.functions.calendar import at
+from mercatura.operators.distinct import distinct_count
 
 ROW_COUNT = "expect_table_row_count_to_be_between"
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -70,7 +72,7 @@ def run_checks(
     parts, row_checks = [], []
     for number, check in enumerate(checks, start=1):
         kind = check["expectation_type"]
-        if kind in (UNIQUE, UNIQUE_SHARE):
+        if kind == UNIQUE or (kind == UNIQUE_SHARE and not check["kwargs"].get("approximate")):
             parts.append(_by_value(df, table_name, number, check))
         elif kind == RELATIONSHIP:
             parent = (parents or {})[check["kwargs"]["to"]]
@@ -88,7 +90,12 @@ def _row_checks(df: DataFrame, table_name: str, checks: Sequence[tuple[int, dict
         *[
             F.count(F.when(_violated(check), 1)).alias(f"failed_{number}")
             for number, check in checks
-            if check["expectation_type"] != ROW_COUNT
+            if check["expectation_type"] not in (ROW_COUNT, UNIQUE_SHARE)
+        ],
+        *[
+            _sketched_share(F.col(check["kwargs"]["column"])).alias(f"share_{number}")
+            for number, check in checks
+            if check["expectation_type"] == UNIQUE_SHARE
         ],
     )
     rows = F.col("rows")
@@ -97,12 +104,22 @@ def _row_checks(df: DataFrame, table_name: str, checks: Sequence[tuple[int, dict
         if check["expectation_type"] == ROW_COUNT:
             ok = _inside(rows, check["kwargs"])
             results.append(_result(table_name, number, check, rows, None, rows, ok))
+        elif check["expectation_type"] == UNIQUE_SHARE:
+            share = F.col(f"share_{number}")
+            ok = F.coalesce(_inside(share, check["kwargs"]), F.lit(True))
+            results.append(_result(table_name, number, check, rows, None, share, ok))
         else:
             failed = F.col(f"failed_{number}")
             results.append(_result(table_name, number, check, rows, failed, None, failed == 0))
     return counted.select(F.inline(F.array(*results)))
 
 
+def _sketched_share(value: Column) -> Column:
+    """Distinct values as a share of the known ones, at most 1; null where none is known."""
+    share = F.try_divide(distinct_count(value, approximate=True).cast("double"), F.count(value))
+    return F.when(share > 1, 1.0).otherwise(share)
+
+
 def _violated(check: dict) -> Column:
     kind, kwargs = check["expectation_type"], check["kwargs"]
     value = F.col(kwargs["column"])

@@ -22,6 +22,7 @@ from mercatura.functions.measures import (
     weighted_mean,
     weighted_sum,
 )
+from mercatura.operators.distinct import distinct_count
 from mercatura.operators.ranking import Tiles, with_tiles
 from mercatura.plans.enrich import (
     corridor,
@@ -68,12 +69,12 @@ def items_per_order_and_category(order_items: DataFrame, products: DataFrame) ->
     )
 
 
-def _category_measures(weight: Column) -> list[Column]:
+def _category_measures(weight: Column, approximate: bool) -> list[Column]:
     def summed(total: str, count: str, places: int) -> Column:
         return rounded_ratio(F.sum(total), F.sum(count), places)
 
     return [
-        F.count(F.lit(1)).alias("order_count"),
+        distinct_count(F.col("order_id"), approximate).alias("order_count"),
         F.sum("items").alias("item_count"),
         F.round(F.sum("price"), 2).alias("total_revenue"),
         summed("price", "priced", 2).alias("avg_item_price"),
@@ -91,11 +92,13 @@ def mart_category_performance(
     products: DataFrame,
     reviews: DataFrame,
     once_per_order: bool = False,
+    approximate: bool = False,
 ) -> DataFrame:
     """Delivered sales by English category.
 
     As defined, review and delay are averaged over items; ``once_per_order``
-    averages them over the category's orders instead.
+    averages them over the category's orders instead. ``approximate`` counts the
+    orders by a sketch.
     """
     outcomes = with_latest_review(
         delivered(orders).select("order_id", delivery_delay_days().alias("delivery_delay_days")),
@@ -103,13 +106,15 @@ def mart_category_performance(
     )
     per_order = items_per_order_and_category(order_items, products).join(outcomes, "order_id")
     weight = F.lit(1) if once_per_order else F.col("items")
-    return per_order.groupBy("category_name_english").agg(*_category_measures(weight))
+    return per_order.groupBy("category_name_english").agg(*_category_measures(weight, approximate))
 
 
 # ── Customer cohorts ─────────────────────────────────────────────────────────
 
 
-def mart_customer_cohorts(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def mart_customer_cohorts(
+    orders: DataFrame, customers: DataFrame, approximate: bool = False
+) -> DataFrame:
     """Each person's first month, tenure and repeat purchases.
 
     An order 1..N days after the first exists exactly when the person's second
@@ -120,7 +125,10 @@ def mart_customer_cohorts(orders: DataFrame, customers: DataFrame) -> DataFrame:
     placed = with_customer(live_orders(orders), customers, "customer_unique_id")
     ts = F.col("order_purchase_timestamp")
     days = placed.groupBy("customer_unique_id", F.to_date(ts).alias("day")).agg(
-        F.count(F.lit(1)).alias("orders"), F.min(ts).alias("first"), F.max(ts).alias("last")
+        # An order given twice is one order; its copies have one day.
+        distinct_count(F.col("order_id"), approximate).alias("orders"),
+        F.min(ts).alias("first"),
+        F.max(ts).alias("last"),
     )
     in_person = Window.partitionBy("customer_unique_id").orderBy(F.col("day").asc_nulls_last())
     gaps = days.withColumn("next_day", F.lead("day").over(in_person)).withColumn(
@@ -230,7 +238,11 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
 
 
 def mart_payment_behavior(
-    orders: DataFrame, payments: DataFrame, reviews: DataFrame, once_per_order: bool = False
+    orders: DataFrame,
+    payments: DataFrame,
+    reviews: DataFrame,
+    once_per_order: bool = False,
+    approximate: bool = False,
 ) -> DataFrame:
     """Two grains in one table: by installment bucket and by payment type.
 
@@ -261,11 +273,11 @@ def mart_payment_behavior(
     value, weight = F.coalesce("paid", F.lit(0).cast("decimal(20,2)")), F.col("weight")
     return (
         known.select(
-            "order_status", "review_score", value.alias("order_value"), F.inline(groups)
+            "order_id", "order_status", "review_score", value.alias("order_value"), F.inline(groups)
         )
         .groupBy("dimension_type", "dimension_value")
         .agg(
-            F.count(F.lit(1)).alias("order_count"),
+            distinct_count(F.col("order_id"), approximate).alias("order_count"),
             weighted_mean(F.col("order_value"), weight, 2).alias("avg_order_value"),
             F.round(weighted_sum(F.col("order_value"), weight), 2).alias("total_revenue"),
             weighted_mean(F.col("review_score"), weight, 2).alias("avg_review_score"),
@@ -280,7 +292,11 @@ def mart_payment_behavior(
 
 
 def customer_metrics(
-    orders: DataFrame, customers: DataFrame, payments: DataFrame, reviews: DataFrame
+    orders: DataFrame,
+    customers: DataFrame,
+    payments: DataFrame,
+    reviews: DataFrame,
+    approximate: bool = False,
 ) -> DataFrame:
     """Recency, frequency and spend per person over delivered orders."""
     done = delivered(orders).select("order_id", "customer_id", "order_purchase_timestamp")
@@ -293,8 +309,7 @@ def customer_metrics(
         .agg(
             F.max(ts).alias("last_order_date"),
             F.min(ts).alias("first_order_date"),
-            # An order id occurs once in staging, so counting ids is distinct.
-            F.count("order_id").alias("total_orders"),
+            distinct_count(F.col("order_id"), approximate).alias("total_orders"),
             F.round(F.sum("total_order_value"), 2).alias("total_spend"),
             mean(F.col("review_score"), 2).alias("avg_review_score"),
         )
@@ -368,6 +383,7 @@ def mart_seller_performance(
     payments: DataFrame,
     reviews: DataFrame,
     once_per_order: bool = False,
+    approximate: bool = False,
 ) -> DataFrame:
     """Sellers with revenue and review quartiles over delivered orders.
 
@@ -393,7 +409,7 @@ def mart_seller_performance(
         per_order.join(known, "order_id")
         .groupBy("seller_id")
         .agg(
-            F.count(F.lit(1)).alias("order_count"),
+            distinct_count(F.col("order_id"), approximate).alias("order_count"),
             weighted_sum(F.col("total_order_value"), weight).alias("revenue"),
             F.sum(score * weight).alias("score_sum"),
             F.sum(F.when(score.isNotNull(), weight)).alias("score_count"),
