@@ -88,7 +88,7 @@ def _row_checks(df: DataFrame, table_name: str, checks: Sequence[tuple[int, dict
     counted = df.agg(
         F.count(F.lit(1)).alias("rows"),
         *[
-            F.count(F.when(_violated(check), 1)).alias(f"failed_{number}")
+            F.count(F.when(violated(check), 1)).alias(f"failed_{number}")
             for number, check in checks
             if check["expectation_type"] not in (ROW_COUNT, UNIQUE_SHARE)
         ],
@@ -120,7 +120,8 @@ def _sketched_share(value: Column) -> Column:
     return F.when(share > 1, 1.0).otherwise(share)
 
 
-def _violated(check: dict) -> Column:
+def violated(check: dict) -> Column:
+    """Whether a row breaks a check that looks at single rows."""
     kind, kwargs = check["expectation_type"], check["kwargs"]
     value = F.col(kwargs["column"])
     if kind == NOT_NULL:

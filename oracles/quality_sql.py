@@ -6,11 +6,14 @@ import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from mercatura.operators import quality
+from mercatura.operators import quality, quarantine
 from mercatura.plans import suites
+from mercatura.plans.daily import gate
 from mercatura.plans.models import Models
 from mercatura.plans.testing import check_models, run_suite
+from mercatura.session import staged_path
 from oracles.duck import key
 from oracles.entries import register
 
@@ -156,6 +159,71 @@ register(
     suite_sql(_LABELS),
 )
 
+# ── Quarantine ───────────────────────────────────────────────────────────────
+
+ITEM_RULES = [
+    quality.not_null("seller_id"),
+    {
+        "expectation_type": quality.BETWEEN,
+        "kwargs": {"column": "price", "min_value": 1500, "max_value": 90000, "strict_min": True},
+    },
+    {"expectation_type": quality.BETWEEN, "kwargs": {"column": "freight_value", "min_value": 100}},
+    quality.accepted_values("order_item_id", [1, 2, 3, 4, 5, 6]),
+]
+
+
+def quarantined_items(m: Models) -> DataFrame:
+    """Items split by four rules; the counted reasons must be those of the rows that were kept."""
+    spark, path = m.raw.spark, staged_path(m.raw.spark, "quarantine")
+    items = m.raw.order_items.select(
+        "order_id", "order_item_id", F.expr("nullif(seller_id, 7)").alias("seller_id"), "price", "freight_value"
+    )
+    told = quarantine.split(items, ITEM_RULES, path)
+    good = quarantine.good_rows(spark, path, items).withColumn("rules", F.lit("")).withColumn("counted", F.lit(told.good))
+    bad = quarantine.bad_rows(spark, path, items).withColumn("rules", F.array_join(quarantine.REASONS, ", "))
+    return good.unionByName(bad.drop(quarantine.REASONS).withColumn("counted", F.lit(told.bad)))
+
+
+register(
+    "dq_quarantine",
+    "order_id i, order_item_id i, seller_id d, price d, freight_value d, rules s, counted i",
+    quarantined_items,
+    """with judged as (
+  select order_id, order_item_id, nullif(seller_id, 7) as seller_id, price_c / 1e2 as price,
+         freight_c / 1e2 as freight_value,
+         concat_ws(', ', case when seller_id = 7 then 'seller_id: not_be_null' end,
+                   case when price_c <= 150000 or price_c > 9000000 then 'price: be_between' end,
+                   case when freight_c < 10000 then 'freight_value: be_between' end,
+                   case when order_item_id not in (1, 2, 3, 4, 5, 6) then 'order_item_id: be_in_set' end) as rules
+  from m_items)
+select *, count(*) over (partition by rules = '') as counted from judged""",
+)
+
+
+def quarantine_reasons(m: Models) -> DataFrame:
+    """Rows per reason, as counted while the split was written."""
+    told = quarantine.split(m.raw.order_items, ITEM_RULES, staged_path(m.raw.spark, "quarantine"))
+    rows = [(rule, told.good, told.bad, n) for rule, n in told.per_rule.items()]
+    return m.raw.spark.createDataFrame(rows, "rule string, good bigint, bad bigint, row_count bigint")
+
+
+register(
+    "dq_quarantine_reasons",
+    "rule s, good i, bad i, row_count i",
+    quarantine_reasons,
+    """with judged as (
+  select seller_id is null as r1, price_c <= 150000 or price_c > 9000000 as r2, freight_c < 10000 as r3,
+         order_item_id not in (1, 2, 3, 4, 5, 6) as r4 from m_items),
+totals as (select count(*) filter (not (r1 or r2 or r3 or r4)) as good,
+                  count(*) filter (r1 or r2 or r3 or r4) as bad,
+                  count(*) filter (r1) as n1, count(*) filter (r2) as n2, count(*) filter (r3) as n3,
+                  count(*) filter (r4) as n4 from judged)
+select 'seller_id: not_be_null' as rule, good, bad, n1 as row_count from totals
+union all select 'price: be_between', good, bad, n2 from totals
+union all select 'freight_value: be_between', good, bad, n3 from totals
+union all select 'order_item_id: be_in_set', good, bad, n4 from totals""",
+)
+
 NOW = dt.datetime(2010, 8, 15)
 
 
@@ -193,3 +261,33 @@ register(
        count(*) over (partition by table_name) as total_failed, expectation_type, observed_value
 from ({suite_sql(suites.SUITES)}) where not success""",
 )
+
+
+# One check more, which other states than 'delivered' break at any scale.
+_STRICT = {
+    name: [*checks, quality.accepted_values("order_status", ["delivered"])] if name == "orders" else checks
+    for name, checks in suites.SUITES.items()
+}
+
+
+def gate_run(m: Models) -> DataFrame:
+    """The gate over all raw suites: what it recorded, and that it stopped the run."""
+    spark, audit = m.raw.spark, staged_path(m.raw.spark, "audit")
+    tables = {name: getattr(m.raw, name) for name in suites.SUITES}
+    try:
+        gate(tables, _STRICT, RUN_TIME, audit)
+        stopped = False
+    except quality.QualityGateError:
+        stopped = True
+    kept = spark.read.parquet(audit).select("table_name", "run_time", "total_failed", "expectation_type")
+    return kept.withColumn("stopped", F.lit(stopped))
+
+
+register(
+    "dq_gate",
+    "table_name s, run_time t, total_failed i, expectation_type s, stopped b",
+    gate_run,
+    f"""select table_name, timestamp '{RUN_TIME}' as run_time,
+       count(*) over (partition by table_name) as total_failed, expectation_type, true as stopped
+from ({suite_sql(_STRICT)}) where not success""",
+)
