@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercatura.functions.calendar import at
 from mercatura.session import stage
+from mercatura.sources import versions
+from mercatura.sources.versions import Version
 
 VALID_FROM, VALID_TO = "dbt_valid_from", "dbt_valid_to"
 
@@ -81,6 +83,44 @@ def apply_snapshot(
     return history.where(~still_open).unionByName(merged)
 
 
+CLOSED_AT = "closed_at"
+"""Partition of a stored history: the run that closed a row, null for the open ones."""
+
+
+def append_snapshot(
+    spark: SparkSession,
+    path: str,
+    current: DataFrame,
+    key: str,
+    check_columns: Sequence[str],
+    run_ts: dt.datetime,
+) -> Version:
+    """Bring the history stored at ``path`` up to ``current``; returns the version that holds it.
+
+    Open rows lie in one partition and rows closed by a run in one of their own, so a run reads and
+    writes the open rows only: what earlier runs closed stays in the files it is in, however long the
+    history grows. A run that is repeated changes nothing.
+    """
+    base = versions.latest(spark, path)
+    if base is None:
+        opened = first_snapshot(current, run_ts).withColumn(CLOSED_AT, _closing_run())
+        return versions.replace(opened, path, [CLOSED_AT], sort_key=key)
+    run = Row(**{CLOSED_AT: run_ts.strftime("%Y-%m-%dT%H%M%S.%f")})
+    mine = [versions.folder_of(Row(**{CLOSED_AT: None})), versions.folder_of(run)]
+    history = versions.read(spark, path, versions.only(base, mine)).drop(CLOSED_AT)
+    after = apply_snapshot(history, current, key, check_columns, run_ts).withColumn(CLOSED_AT, _closing_run())
+    return versions.replace_partitions(after, path, base, [CLOSED_AT], mine)
+
+
+def _closing_run() -> Column:
+    return F.date_format(VALID_TO, "yyyy-MM-dd'T'HHmmss.SSSSSS")
+
+
+def stored_history(spark: SparkSession, path: str, version: Version | int | None = None) -> DataFrame:
+    """All versions of all keys of a stored history."""
+    return versions.read(spark, path, version).drop(CLOSED_AT)
+
+
 def with_current_flag(history: DataFrame) -> DataFrame:
     return history.withColumn("is_current", F.col(VALID_TO).isNull())
 

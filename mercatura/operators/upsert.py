@@ -43,6 +43,37 @@ def _by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str], how: str)
     return target.join(named, reduce(lambda a, b: a & b, same), how)
 
 
+def change_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What merging ``batch`` changes: the keys, action, and the row before and after.
+
+    The action is 'inserted', with no row before, or 'updated'. Batch rows that repeat the stored one
+    are no change and do not appear. Keys compare null-safe, as in the merge.
+    """
+    compared = [c for c in batch.columns if c not in keys]
+    old = target.select(
+        *[F.col(k).alias(f"_of_{i}") for i, k in enumerate(keys)], F.struct(*compared).alias("before")
+    )
+    new = batch.select(*keys, F.struct(*compared).alias("after"))
+    same = reduce(lambda a, b: a & b, [new[k].eqNullSafe(old[f"_of_{i}"]) for i, k in enumerate(keys)])
+    met = new.join(old, same, "left").where(~F.col("before").eqNullSafe(F.col("after")))
+    action = F.when(F.col("before").isNull(), "inserted").otherwise("updated")
+    return met.select(*keys, action.alias("action"), "before", "after")
+
+
+def append_changes(rows: DataFrame, path: str, batch_id: str) -> None:
+    """Keep the changes of one batch in the feed at ``path``, a partition per batch.
+
+    A batch that is sent again replaces its own partition, so the feed has each change once.
+    """
+    (
+        rows.withColumn("batch_id", F.lit(batch_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
+
+
 def changes(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How many batch rows insert, update or repeat a target row; what is untouched."""
     compared = [c for c in batch.columns if c not in keys]

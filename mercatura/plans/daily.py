@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.operators.history import apply_snapshot, first_snapshot, require_snapshot_key
+from mercatura.operators.history import append_snapshot, require_snapshot_key, stored_history
 from mercatura.operators.quality import append_failures, check_freshness, failures, require_passed
 from mercatura.operators.upsert import recent, upsert_version
 from mercatura.plans import staging, suites
@@ -95,13 +95,8 @@ def update_snapshots(
         path = f"{folder}/{name}"
         current = getattr(models, model).drop("customer_key", "seller_key")
         current = require_snapshot_key(current, key)
-        if versions.latest(spark, path) is not None:
-            history = versions.read(spark, path)
-            after = apply_snapshot(history, current, key, ["zip_code_prefix", *checks], run_ts)
-        else:
-            after = first_snapshot(current, run_ts)
-        made = versions.replace(after, path, sort_key=key)
-        stored[name] = versions.read(spark, path, made)
+        made = append_snapshot(spark, path, current, key, ["zip_code_prefix", *checks], run_ts)
+        stored[name] = stored_history(spark, path, made)
         versions.expire(spark, path, KEPT_VERSIONS)
     return stored
 

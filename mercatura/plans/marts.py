@@ -109,6 +109,33 @@ def mart_category_performance(
     return per_order.groupBy("category_name_english").agg(*_category_measures(weight, approximate))
 
 
+def touched_categories(changed: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
+    """The categories whose figures can depend on the orders of ``changed`` (order_id)."""
+    ids = changed.select("order_id").distinct()
+    items = order_items.select("order_id", "product_id").join(ids, "order_id", "left_semi")
+    about = products.select("product_id", F.col("category_name_en").alias("category_name_english"))
+    return items.join(about, "product_id").select("category_name_english").distinct()
+
+
+def refresh_category_performance(
+    mart: DataFrame,
+    touched: DataFrame,
+    orders: DataFrame,
+    order_items: DataFrame,
+    products: DataFrame,
+    reviews: DataFrame,
+) -> DataFrame:
+    """``mart`` with the groups of ``touched`` computed anew and all others as they are.
+
+    Only the items of touched categories, and the orders these belong to, take part.
+    """
+    name = F.col("category_name_en") == F.col("category_name_english")
+    some = products.join(touched, name, "left_semi")
+    items = order_items.join(some.select("product_id"), "product_id", "left_semi")
+    fresh = mart_category_performance(orders, items, some, reviews)
+    return mart.join(touched, "category_name_english", "left_anti").unionByName(fresh)
+
+
 # ── Customer cohorts ─────────────────────────────────────────────────────────
 
 

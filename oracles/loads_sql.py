@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 from mercatura.functions.calendar import at
 from mercatura.operators import history, upsert
+from mercatura.plans import marts
 from mercatura.plans.daily import increment
 from mercatura.plans.models import Models
-from mercatura.session import staged_path
+from mercatura.session import stage, staged_path
 from mercatura.sources import raw_csv, tables, versions
 from mercatura.sources.contracts import CONTRACTS
 from mercatura.sources.marketplace import RawTables
 from mercatura.sources.seeds import load_translation
 from mercatura.streaming.incremental import merge_stream
 from oracles.duck import key
-from oracles.models_sql import STG_ITEMS, STG_ORDERS, STG_REVIEWS
+from oracles.models_sql import CATEGORY, STG_ITEMS, STG_ORDERS, STG_REVIEWS
 from oracles.entries import register
 
 FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -489,6 +490,53 @@ register(
 )
 
 
+def changed_rows(m: Models) -> DataFrame:
+    target = first_orders(m)
+    found = upsert.change_rows(target, order_batch(m, target), ["order_key"])
+    path = staged_path(m.raw.spark, "feed")
+    for _ in range(2):  # a batch sent again is kept once
+        upsert.append_changes(found, path, "batch 1")
+    kept = m.raw.spark.read.parquet(path)
+    return kept.select(
+        "order_key", "action", "batch_id", "before.order_status", F.col("after.order_status").alias("new_status")
+    )
+
+
+register(
+    "upsert_change_rows",
+    "order_key s, action s, batch_id s, order_status s, new_status s",
+    changed_rows,
+    f"""select {key('order_id')} as order_key, 'batch 1' as batch_id, order_status as new_status,
+       case when order_purchase_timestamp > timestamp '{CUT}' then 'inserted' else 'updated' end as action,
+       case when order_purchase_timestamp <= timestamp '{CUT}' then 'processing' end as order_status
+from m_orders, (select max(order_purchase_timestamp) as newest from m_orders
+                where order_purchase_timestamp <= timestamp '{CUT}')
+where order_purchase_timestamp > timestamp '{CUT}'
+   or (order_purchase_timestamp >= newest - interval 3 days and order_status <> 'processing')""",
+)
+
+
+def refreshed_category(m: Models) -> DataFrame:
+    """A mart of yesterday's orders, brought up to date from the changes of a small batch."""
+    order = F.col("order_id")
+    late, stale = order % 4999 == 4, order % 4999 == 3
+    before = m.stg_orders.where(~late).withColumn(
+        "order_status", F.when(stale, "processing").otherwise(F.col("order_status"))
+    )
+    given = (m.stg_order_items, m.stg_products, m.stg_reviews)
+    old = stage(marts.mart_category_performance(before, *given), "mart")
+    batch = m.stg_orders.where(late | stale)
+    feed = stage(upsert.change_rows(before, batch, ["order_id"]), "feed")
+    touched = stage(marts.touched_categories(feed, m.stg_order_items, m.stg_products), "touched")
+    after = upsert.upsert(before, batch, ["order_id"])
+    return marts.refresh_category_performance(old, touched, after, *given)
+
+
+register(
+    "mart_category_refresh", CATEGORY, refreshed_category, "select * from mart_category"
+)
+
+
 def versioned_orders(m: Models) -> DataFrame:
     """Both versions of a table, the first one read after the second was made."""
     spark, path = m.raw.spark, staged_path(m.raw.spark, "versions")
@@ -565,18 +613,23 @@ CUSTOMER_CHECKS = ["zip_code_prefix", "customer_city", "customer_state"]
 SELLER_CHECKS = ["zip_code_prefix", "seller_city", "seller_state"]
 
 
-def customer_history(m: Models) -> DataFrame:
+def customer_snapshots(m: Models) -> tuple[DataFrame, DataFrame]:
     """Two snapshots: some customers are new in the second, some gone, some moved."""
     customers = m.stg_customers.drop("customer_key")
     ident = F.col("customer_id")
-    first = history.first_snapshot(customers.where(ident % 11 != 0), RUNS[0])
     moved = customers.where(ident % 13 != 0).withColumn(
         "customer_city",
         F.when(ident % 5 == 0, F.concat("customer_city", F.lit(" north")))
         .when(ident % 7 == 0, F.lit(None))
         .otherwise(F.col("customer_city")),
     )
-    return history.apply_snapshot(first, moved, "customer_id", CUSTOMER_CHECKS, RUNS[1])
+    return customers.where(ident % 11 != 0), moved
+
+
+def customer_history(m: Models) -> DataFrame:
+    first, moved = customer_snapshots(m)
+    opened = history.first_snapshot(first, RUNS[0])
+    return history.apply_snapshot(opened, moved, "customer_id", CUSTOMER_CHECKS, RUNS[1])
 
 
 def seller_history(m: Models) -> DataFrame:
@@ -629,6 +682,18 @@ SCD_SELLERS = (
 )
 register("scd2_customers", SCD_CUSTOMERS, customer_history, f"select * from {CUSTOMER_HISTORY}")
 register("scd2_sellers", SCD_SELLERS, seller_history, f"select * from {SELLER_HISTORY}")
+
+
+def appended_history(m: Models) -> DataFrame:
+    """The customers' history as a stored table after three runs, the last one without a change."""
+    spark, path = m.raw.spark, staged_path(m.raw.spark, "history")
+    customers, moved = customer_snapshots(m)
+    for current, run in ((customers, RUNS[0]), (moved, RUNS[1]), (moved, dt.datetime(1999, 1, 1))):
+        history.append_snapshot(spark, path, current, "customer_id", CUSTOMER_CHECKS, run)
+    return history.stored_history(spark, path)
+
+
+register("scd2_append", SCD_CUSTOMERS, appended_history, f"select * from {CUSTOMER_HISTORY}")
 register(
     "scd2_current_sellers",
     SCD_SELLERS,

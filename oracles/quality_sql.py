@@ -47,9 +47,8 @@ SOURCES = {
     "mart_payment_behavior": "mart_payment",
     "mart_rfm_segmentation": "mart_rfm",
     "mart_seller_performance": "mart_seller",
-    "category_translation": "(select * from (values ('STANDARD', 'standard'), ('SMALL', 'small'), "
-    "('LARGE', 'large'), ('ECONOMY', 'economy'), ('MEDIUM', 'medium')) "
-    "v(product_category_name, product_category_name_english))",
+    "category_translation": "(select distinct p_type as product_category_name, "
+    "lower(p_type) as product_category_name_english from part where p_type <> 'PROMO')",
     "labels": "labels",
     "documents": "documents",
 }
@@ -142,10 +141,17 @@ register(
     suite_sql(suites.MART_TESTS),
 )
 
+def seed_results(m: Models) -> DataFrame:
+    """The seed tests on the translation of the categories that the products have."""
+    names = m.raw.source("part").select(F.col("p_type").alias("product_category_name")).distinct()
+    translated = names.join(m.raw.category_translation, "product_category_name")
+    return run_suite(suites.SEED_TESTS, {"category_translation": translated})
+
+
 register(
     "dq_seed_tests",
     RESULT,
-    lambda m: run_suite(suites.SEED_TESTS, {n: getattr(m.raw, n) for n in suites.SEED_TESTS}),
+    seed_results,
     suite_sql(suites.SEED_TESTS),
 )
 

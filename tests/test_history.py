@@ -1,11 +1,14 @@
 """Slowly changing dimensions and the as-of join."""
 
 import datetime as dt
+import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from mercatura.operators import history
+from mercatura.sources import versions as stored_tables
 
 R1, R2, R3 = (dt.datetime(2020, m, 1) for m in (1, 2, 3))
 SCHEMA = "id int, name string, city string, state string"
@@ -85,6 +88,50 @@ def test_third_run_keeps_closed_rows_and_periods_do_not_overlap(spark, versions)
     assert history.apply_snapshot(after, third, "id", CHECKS, R3).count() == after.count()
 
 
+def _files(folder):
+    return {p.relative_to(folder): p.read_bytes() for p in Path(folder).rglob("*.parquet")}
+
+
+def test_stored_history_equals_the_computed_one_and_keeps_closed_files(spark, tmp_path):
+    path = str(tmp_path / "history")
+    rng = random.Random(1)
+    current, computed = {i: "a" for i in range(40)}, None
+    closed_before = {}
+    for day in range(1, 6):
+        run = dt.datetime(2021, 1, day)
+        for i in rng.sample(sorted(current), 12):
+            current[i] = rng.choice("abc")
+        current[100 + day] = "new"
+        table = spark.createDataFrame([(i, "n", c, "X") for i, c in current.items()], SCHEMA)
+        for _ in range(2):  # a run that is repeated changes nothing
+            history.append_snapshot(spark, path, table, "id", CHECKS, run)
+        first = history.first_snapshot(table, run)
+        computed = first if computed is None else history.apply_snapshot(computed, table, "id", CHECKS, run)
+        assert _rows_text(history.stored_history(spark, path)) == _rows_text(computed)
+        files = _files(path)
+        assert all(files[name] == data for name, data in closed_before.items())
+        closed_before = {n: d for n, d in files.items() if "__HIVE_DEFAULT" not in str(n)}
+    open_row = F.col("dbt_valid_to").isNull()
+    stored = stored_tables.read(spark, path)
+    assert stored.where(open_row).select("closed_at").distinct().collect()[0][0] is None
+    assert stored.where(~open_row).where("closed_at is null").count() == 0
+
+
+def _rows_text(df):
+    return sorted(str(tuple(r)) for r in df.select("id", "city", "dbt_valid_from", "dbt_valid_to").collect())
+
+
+def test_a_run_reads_no_closed_rows(spark, tmp_path, monkeypatch):
+    path, seen = str(tmp_path / "h"), []
+    for day, city in ((1, "a"), (2, "b"), (3, "c")):
+        table = spark.createDataFrame([(i, "n", city, "X") for i in range(9)], SCHEMA)
+        history.append_snapshot(spark, path, table, "id", CHECKS, dt.datetime(2021, 1, day))
+    apply = history.apply_snapshot
+    monkeypatch.setattr(history, "apply_snapshot", lambda old, *rest: seen.append(old) or apply(old, *rest))
+    history.append_snapshot(spark, path, table, "id", CHECKS, dt.datetime(2021, 1, 4))
+    assert seen[0].count() == 9 and history.stored_history(spark, path).count() == 27
+
+
 def test_current_flag(versions):
     flagged = history.with_current_flag(versions)
     assert flagged.where("is_current").count() == history.current_rows(versions).count() == 6

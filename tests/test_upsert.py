@@ -102,3 +102,24 @@ def test_an_empty_batch_changes_nothing(spark, target):
     upsert.upsert_partitions(spark, path, part(target), ["id"], ["day"])
     upsert.upsert_partitions(spark, path, part(target.limit(0)), ["id"], ["day"])
     assert _read(spark, path, part(target)).count() == 4
+
+
+def test_change_rows_have_both_sides(spark, source, target):
+    target = target.unionByName(spark.createDataFrame([(None, _day(9), "old")], SCHEMA))
+    batch = source.where("id in (2, 5)").unionByName(
+        spark.createDataFrame([(3, _day(8), "old"), (None, _day(9), "new")], SCHEMA)
+    )
+    found = {
+        r.id: (r.action, r.before and r.before.status, r.after.status)
+        for r in upsert.change_rows(target, batch, ["id"]).collect()
+    }
+    assert found == {2: ("updated", "old", "new"), 5: ("inserted", None, "new"), None: ("updated", "old", "new")}
+
+
+def test_the_feed_has_a_repeated_batch_once(spark, source, target):
+    path = staged_path(spark, "feed")
+    rows = upsert.change_rows(target, source, ["id"])
+    for batch in ("1", "2", "2"):
+        upsert.append_changes(rows, path, batch)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 2 * rows.count() and stored.select("batch_id").distinct().count() == 2
