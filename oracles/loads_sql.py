@@ -17,7 +17,7 @@ from mercatura.sources import raw_csv, tables, versions
 from mercatura.sources.contracts import CONTRACTS
 from mercatura.sources.marketplace import RawTables
 from mercatura.sources.seeds import load_translation
-from mercatura.streaming.incremental import merge_stream
+from mercatura.streaming.incremental import Late, in_time, late_rows, merge_stream
 from oracles.duck import key
 from oracles.models_sql import CATEGORY, STG_ITEMS, STG_ORDERS, STG_REVIEWS
 from oracles.entries import register
@@ -757,3 +757,47 @@ register(
     f"select *, {key('order_id')} as order_key, "
     "strftime(order_purchase_timestamp, '%Y-%m') as purchase_month from m_orders",
 )
+
+
+LATE_DELAY = dt.timedelta(days=180)
+
+
+def streamed_late_rows(m: Models) -> DataFrame:
+    """Three micro-batches: orders until 1998 as created, later ones with final states for the last months of 1998,
+    then all final states again, most of them too late by then."""
+    spark = m.raw.spark
+    inbox, table, marks, side = (staged_path(spark, f) for f in ("inbox", "table", "marks", "late"))
+    final, placed = by_month(m.stg_orders), F.col("order_purchase_timestamp")
+    first = final.where(placed < "1999-01-01").withColumn("order_status", F.lit("created"))
+    late = Late("order_purchase_timestamp", LATE_DELAY, side)
+    for arriving in (first, final.where(placed >= "1998-09-01"), final):
+        arriving.write.mode("append").parquet(inbox)
+        merge_stream(
+            spark.readStream.schema(final.schema).parquet(inbox),
+            table,
+            marks,
+            keys=["order_key"],
+            newest_first=[(F.col("order_status") == "created").asc()],
+            partition_columns=["purchase_month"],
+            late=late,
+        ).awaitTermination()
+    # The third batch once more, as after a failure before it was committed.
+    in_time(final, 2, late)
+    merged = spark.read.schema(final.schema).parquet(table).withColumn("batch_id", F.lit(None).cast("bigint"))
+    return merged.unionByName(late_rows(spark, late, final))
+
+
+register(
+    "stream_late_rows",
+    "order_id i, order_status s, order_purchase_timestamp t, purchase_month s, batch_id d",
+    streamed_late_rows,
+    """select order_id, order_purchase_timestamp, strftime(order_purchase_timestamp, '%Y-%m') as purchase_month,
+       case when order_purchase_timestamp < timestamp '1998-09-01'
+                 and order_purchase_timestamp < newest - interval 180 days
+            then 'created' else order_status end as order_status, null as batch_id
+from m_orders, (select max(order_purchase_timestamp) as newest from m_orders)
+union all
+select order_id, order_purchase_timestamp, strftime(order_purchase_timestamp, '%Y-%m'), order_status, 2
+from m_orders, (select max(order_purchase_timestamp) as newest from m_orders)
+where order_purchase_timestamp < newest - interval 180 days""",
+)
