@@ -134,35 +134,23 @@ def draw(
     most_epochs: int = MOST_EPOCHS,
     seed: str = "mix",
 ) -> DataFrame:
-    """The mixed rows, with the columns of ``docs``: a document once per epoch that takes it.
+    """The mixed rows, with the columns of ``docs``: a document once per epoch that takes it, whole.
 
-    The one document of a source that the budget cuts has its taken words only, from its
-    start to the end of the last one, and n_chars, where the table has it, says so. A
-    document without words belongs to no epoch. Rows that agree in doc_id, source and text
-    are one document, whose words count once per row; any one of them is repeated.
+    The one document of a source that the budget cuts is in its last epoch or not, by which comes nearer to the
+    budget; so a source misses its budget by half a document at most. A document without words belongs
+    to no epoch. Rows that agree in doc_id, source and text are one document, whose words count
+    once per row; any one of them is repeated.
     """
-    row, size, number = (free_name(docs, n) for n in ("row", "size", "copy"))
+    row, number = free_name(docs, "row"), free_name(docs, "copy")
     identity = F.struct("doc_id", "source", F.md5(F.coalesce("text", F.lit(""))))
     taken = (
         mix(docs.withColumn(row, identity), weights, most_epochs, seed, keep=[row])
         .groupBy(F.col(row).alias("row"))
         .agg(F.sum("taken").alias("taken"), F.max("size").alias("size"))
-        .where("taken > 0")
+        .where("2 * taken >= size and taken > 0")
     )
     taken = taken.select(*[F.col(c).alias(free_name(docs, f"of_{c}")) for c in taken.columns])
     of_row, of_taken, of_size = taken.columns
-    rows = (
-        docs.withColumn(row, identity)
-        .dropDuplicates([row])
-        .join(taken, F.col(row) == F.col(of_row))
-        .withColumn(number, F.explode(F.expr(f"sequence(1, ceil({of_taken} / {of_size}))")))
-        .withColumn(size, F.col(of_taken) - F.col(of_size) * (F.col(number) - 1))
-    )
-    cut = F.col(size) < F.col(of_size)
-    pieces = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{SPACED_WORD}"), F.lit(0))
-    head = F.concat_ws("", F.slice(pieces, F.lit(1), F.col(size).cast("int")))
-    made = {"text": F.when(cut, head).otherwise(F.col("text"))}
-    if "n_chars" in docs.columns:
-        chars = F.when(cut, F.length(made["text"])).otherwise(F.col("n_chars"))
-        made["n_chars"] = chars.cast(docs.schema["n_chars"].dataType)
-    return rows.select(*[made.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    times = F.expr(f"sequence(1, (2 * {of_taken} + {of_size}) div (2 * {of_size}))")
+    rows = docs.withColumn(row, identity).dropDuplicates([row]).join(taken, F.col(row) == F.col(of_row))
+    return rows.withColumn(number, F.explode(times)).select(*[F.col(f"`{c}`") for c in docs.columns])
