@@ -9,9 +9,9 @@ it. A text is described by how many windows reach each of a few thresholds and b
 differences; a logistic curve, fitted on labelled texts that trained no dictionary, turns
 this into a score.
 
-The fit reads a bounded sample of labelled rows: at most ``SAMPLE`` rows of either label, in the order
-of a hash of their doc_id, and ``SAMPLE_CHARS`` characters of each. Scoring reads all texts
-whole, and needs nothing but the fitted model, about 60 KB.
+The fit reads a bounded sample of labelled rows with their whole texts: at most ``SAMPLE`` rows and
+``SAMPLE_BYTES`` bytes of either label, in the order of a hash of their doc_id. Scoring reads all
+texts whole, and needs nothing but the fitted model, about 60 KB.
 
 Defined results: a null or empty text has no windows and score 0. Labels that
 are null, or of no document, are not used; a doc_id with several labels counts as toxic if one
@@ -29,14 +29,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercatura.llm.common import small_batches
 from mercatura.llm.word_hash import chunks
 
 SAMPLE = {1: 1_500, 0: 4_500}
-SAMPLE_CHARS = 20_000
+SAMPLE_BYTES = {1: 12_000_000, 0: 30_000_000}
+"""Bytes of the sampled texts of a label; a row that does not fit any more is not sampled."""
 TOXIC_BYTES, BASE_BYTES = 1_536, 24_576
 TRAINING_WORDS = 400_000
 """Words of the sample that train one part of a dictionary."""
@@ -254,10 +255,19 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     for label, most in SAMPLE.items():
         sample = known.where(F.col("toxic") == label).orderBy(place, "doc_id").limit(most)
         named = F.broadcast(sample.select(F.col("doc_id").alias("label_id")))
-        cut = F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text")
+        text = F.coalesce("text", F.lit(""))
+        sizes = docs.join(named, F.col("doc_id") == F.col("label_id")).select(
+            place.alias("place"), "doc_id", F.xxhash64(text).alias("mark"), F.octet_length(text).alias("bytes")
+        )
+        # At most SAMPLE rows: the running total of their sizes is one task's work.
+        sizes = sizes.where(F.col("bytes") <= SAMPLE_BYTES[label]).orderBy("place", "doc_id", "mark").limit(most)
+        so_far = Window.orderBy("place", "doc_id", "mark")
+        fits = sizes.withColumn("total", F.sum("bytes").over(so_far)).where(F.col("total") <= SAMPLE_BYTES[label])
+        fits = fits.select(F.col("doc_id").alias("label_id"), F.col("mark").alias("of_mark")).distinct()
+        wanted = (F.col("doc_id") == F.col("label_id")) & (F.xxhash64(text) == F.col("of_mark"))
         rows = (
-            docs.join(named, F.col("doc_id") == F.col("label_id"))
-            .select(place.alias("place"), "doc_id", cut)
+            docs.join(F.broadcast(fits), wanted, "left_semi")
+            .select(place.alias("place"), "doc_id", text.alias("text"))
             .orderBy("place", "doc_id", "text")
             .limit(most)
         )

@@ -46,10 +46,18 @@ def test_toxicity(spark, tables):
     model = toxicity.learn(tables[0], labels)
     scores = {r.doc_id: r.score for r in toxicity.score(tables[0], model).collect()}
     assert rows(tables[1]) == [r for r in rows(tables[0]) if scores[r[0]] < 0.5]
+
+
+def test_toxic_documents_go(spark):
+    """On sf0.01: sf0.001 has 11 toxic labels, too few to learn from and to tell shares of."""
+    folder = "/root/testdata/sf0.01"
+    docs = corpus_pipeline.documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    left = {r.doc_id for r in corpus_pipeline.clean(spark, docs, folder).select("doc_id").collect()}
     toxic = {r.doc_id for r in labels.where("toxic = 1").collect()}
-    gone = {r[0] for r in rows(tables[0])} - {r[0] for r in rows(tables[1])}
-    assert len(gone & toxic) >= 0.5 * len(toxic)
-    assert len(gone & {r.doc_id for r in labels.where("toxic = 0").collect()}) <= 3
+    plain = {r.doc_id for r in labels.where("toxic = 0").collect()} - toxic
+    assert len(toxic - left) >= 0.5 * len(toxic)
+    assert len(plain - left) <= 0.02 * len(plain)
 
 
 def test_exact_copies(tables):
@@ -78,12 +86,12 @@ def test_near_copies(tables):
 
 
 def test_mixing(tables):
-    words = Counter()
-    for row in rows(tables[4]):
-        words[row[0]] += len(SPACED.findall(row[1]))
-        assert row[4] == len(row[1])
-    expected = {r.doc_id: r.taken for r in mixing.mix(tables[3]).collect() if r.taken}
-    assert words == expected
+    copies = Counter(rows(tables[4]))
+    assert set(copies) <= set(rows(tables[3]))
+    taken = {r.doc_id: (r["size"], r.taken) for r in mixing.mix(tables[3]).collect()}
+    for row in rows(tables[3]):
+        size, words = taken[row[0]]
+        assert copies[row] == ((2 * words + size) // (2 * size) if size and words else 0)
 
 
 def test_encoding(tables):
