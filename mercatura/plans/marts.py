@@ -199,24 +199,29 @@ def mart_delivery_analysis(
 ) -> DataFrame:
     """Corridors with at least ``floor`` delivered items, worst average delay first.
 
-    Both sides of the join by order arrive from a shuffle of their own, so Spark
-    can split an order that holds very many items.
+    All times are an order's, so its items are counted per seller first: an order that holds
+    very many items reaches both joins as one row per seller.
     """
     ends = delivered_with_corridor_end(orders, customers).select(
         "order_id", "destination_state", *delivery_times()
     )
+    per_order = order_items.groupBy("order_id", "seller_id").agg(
+        F.count(F.lit(1)).alias("items"),
+        money_sum(F.col("freight_value")).alias("freight"),
+        F.count("freight_value").alias("freighted"),
+    )
+    items = F.col("items")
     corridors = (
-        order_items.select("order_id", "seller_id", "freight_value")
-        .join(ends, "order_id")
+        per_order.join(ends, "order_id")
         .join(seller_origins(sellers), "seller_id", "left")
         .groupBy("origin_state", "destination_state", corridor().alias("corridor"))
         .agg(
-            F.count(F.lit(1)).alias("order_count"),
-            mean(F.col("delay_days"), 1).alias("avg_delay_days"),
-            mean(F.col("actual_delivery_days"), 1).alias("avg_actual_delivery_days"),
-            mean(F.col("estimated_delivery_days"), 1).alias("avg_estimated_delivery_days"),
-            percentage(F.col("is_on_time") == 0, 1).alias("late_pct"),
-            mean(F.col("freight_value"), 2).alias("avg_freight_value"),
+            F.sum("items").alias("order_count"),
+            weighted_mean(F.col("delay_days"), items, 1).alias("avg_delay_days"),
+            weighted_mean(F.col("actual_delivery_days"), items, 1).alias("avg_actual_delivery_days"),
+            weighted_mean(F.col("estimated_delivery_days"), items, 1).alias("avg_estimated_delivery_days"),
+            percentage(F.col("is_on_time") == 0, 1, items).alias("late_pct"),
+            rounded_ratio(F.sum("freight"), F.sum("freighted"), 2).alias("avg_freight_value"),
         )
         .where(F.col("order_count") >= floor)
     )

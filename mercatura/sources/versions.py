@@ -208,8 +208,12 @@ def replace(
     spark = df.sparkSession
     base = latest(spark, path)
     written, rows = write_folder(df, path, partition_by, sort_key)
-    if check is not None:
-        check(rows)
+    try:
+        if check is not None:
+            check(rows)
+    except Exception:
+        drop_path(spark, f"{path}/data/{WRITTEN}={written}")
+        raise
     folders = {f: written for f in folders_of(spark, path, written, len(partition_by))}
     return publish(spark, path, base, folders, _ordered(df, partition_by))
 
