@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _RANDOM = np.random.default_rng(64).integers(0, 2**64, 256, dtype=np.uint64)
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -48,7 +48,8 @@ class _Powers:
 
 
 def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[pa.Array]:
-    """Slices of about ``most`` bytes, never less than one whole text."""
+    """Slices of about ``most`` bytes, never less than one whole text. Memory that Arrow keeps for later
+    is given back after each, as several workers share an executor's."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     start = 0
@@ -56,6 +57,7 @@ def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[pa.Array]:
         base = ends[start - 1] if start else 0
         end = max(start + 1, int(np.searchsorted(ends, base + most, "right")))
         yield texts.slice(start, end - start)
+        pa.default_memory_pool().release_unused()
         start = end
 
 
