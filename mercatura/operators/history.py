@@ -153,9 +153,9 @@ def as_of_join(
 
     Versions and facts are sorted together by (key, time), by range, and a fact takes the last
     version before it. Facts of one key, even of one instant, spread over as many
-    partitions as they need, as a hash of the fact is the end of the sort key. Inside a partition a
-    window carries the version on; into the next partitions goes the last version of each, one
-    row per partition. No fact meets a version it does not take, so a key of many facts and many
+    partitions as they need, as a hash of the fact is the end of the sort key. The last version of
+    each partition is put before the first row of the next ones, and a window inside the
+    partitions carries versions on. No fact meets a version it does not take, so a key of many facts and many
     versions costs their sum.
 
     The rows of ``facts`` stay what they are and as many as they are. Facts without a key or a time
@@ -177,18 +177,21 @@ def as_of_join(
     placed = stage(both.orderBy(*order).withColumn("place", F.monotonically_increasing_id()), "as-of")
     placed = placed.withColumn("part", F.shiftright("place", _ROW_BITS))
 
-    in_part = Window.partitionBy("part", "key").orderBy("place")
-    placed = placed.withColumn(
-        "here", F.last("version", ignorenulls=True).over(in_part.rowsBetween(Window.unboundedPreceding, 0))
-    )
     version_place = F.when(~F.col("is_fact"), F.col("place"))
     tails = placed.groupBy("part").agg(F.max_by(F.struct("key", "version"), version_place).alias("tail"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range partition of the sort: fits one task and a broadcast.
-    carried = tails.select("part", F.last("tail", ignorenulls=True).over(earlier).alias("before"))
-    found = placed.where("is_fact").join(F.broadcast(carried), "part", "left")
-    before = F.when(F.col("before.key") == F.col("key"), F.col("before.version"))
-    found = found.withColumn("version", F.coalesce("here", before))
+    # One row per range partition of the sort, so this window has at most spark.sql.shuffle.partitions rows.
+    carried = stage(tails.select("part", F.last("tail", ignorenulls=True).over(earlier).alias("tail")), "carried")
+    brought = carried.where("tail is not null").select(
+        F.col("tail.key").alias("key"),
+        F.col("tail.version").alias("version"),
+        F.lit(False).alias("is_fact"),
+        (F.shiftleft("part", _ROW_BITS) - 1).alias("place"),  # before the partition's first row
+        "part",
+    )
+    carrying = placed.unionByName(brought, allowMissingColumns=True)
+    so_far = Window.partitionBy("part", "key").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    found = carrying.withColumn("version", F.last("version", ignorenulls=True).over(so_far)).where("is_fact")
     ended = F.col("start") < F.col(f"version.{VALID_TO}")
     valid = F.col("start").isNotNull() & (F.col(f"version.{VALID_TO}").isNull() | ended)
     return found.select(
