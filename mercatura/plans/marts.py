@@ -23,7 +23,7 @@ from mercatura.functions.measures import (
     weighted_sum,
 )
 from mercatura.operators.distinct import distinct_count
-from mercatura.operators.ranking import Tiles, with_tiles
+from mercatura.operators.selection import Shares, with_shares
 from mercatura.plans.enrich import (
     corridor,
     delivered,
@@ -368,13 +368,13 @@ def mart_rfm_segmentation(
     orders: DataFrame, customers: DataFrame, payments: DataFrame, reviews: DataFrame
 ) -> DataFrame:
     """Quintile scores for every person, 5 best, and a segment label."""
-    scored = with_tiles(
+    scored = with_shares(
         customer_metrics(orders, customers, payments, reviews),
         "customer_unique_id",
         {
-            "recency_tile": Tiles([F.col("days_since_last_order").asc_nulls_last()], 5),
-            "f_score": Tiles([F.col("total_orders").asc_nulls_last()], 5),
-            "m_score": Tiles([F.col("total_spend").asc_nulls_last()], 5),
+            "recency_tile": Shares("days_since_last_order", 5),
+            "f_score": Shares("total_orders", 5),
+            "m_score": Shares("total_spend", 5),
         },
     )
     return (
@@ -453,12 +453,12 @@ def mart_seller_performance(
         .withColumn("review_mean", F.col("score_sum").cast("double") / F.col("score_count"))
     )
     # Quartiles go by the unrounded averages. A seller without a review sorts last.
-    ranked = with_tiles(
+    ranked = with_shares(
         measured,
         "seller_id",
         {
-            "revenue_quartile": Tiles([F.col("revenue").asc_nulls_last()], 4),
-            "review_quartile": Tiles([F.col("review_mean").asc_nulls_last()], 4),
+            "revenue_quartile": Shares("revenue", 4),
+            "review_quartile": Shares("review_mean", 4),
         },
     )
     places = sellers.select("seller_id", "seller_state", "seller_city")
