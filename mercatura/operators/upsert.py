@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mercatura.operators.dedupe import first_per_key
 from mercatura.session import drop_path, path_exists, stage
-from mercatura.sources import versions
+from mercatura.sources import key_index, versions
 from mercatura.sources.versions import Version
 
 
@@ -171,6 +171,7 @@ def upsert_version(
     partition_columns: Sequence[str],
     keys_move: bool = True,
     newest_first: Sequence[Column] = (),
+    indexed: bool = False,
 ) -> Version:
     """Merge ``batch`` into the versioned table at ``path``; returns the version that holds it.
 
@@ -178,12 +179,35 @@ def upsert_version(
     and the next version names them instead, all at once: readers go on with the version they have,
     and a writer that dies at any step leaves the newest one as it was. Rows are written
     once, as nothing that is read is replaced.
+
+    With ``indexed``, every write gets an index of its keys (``sources.key_index``), and older copies are looked
+    for in the partitions that the index names, not in the keys of all.
     """
     base = versions.latest(spark, path)
     if base is None:
-        return versions.replace(batch, path, partition_columns)
-    batch = stage(batch, "batch")
-    target = versions.read(spark, path, base)
+        made = versions.replace(batch, path, partition_columns)
+    else:
+        made = _merged(spark, path, base, batch, keys, partition_columns, keys_move, newest_first, indexed)
+    if indexed:
+        key_index.build(spark, path, made, keys, partition_columns)
+    return made
+
+
+def _merged(
+    spark: SparkSession,
+    path: str,
+    base: Version,
+    batch: DataFrame,
+    keys: Sequence[str],
+    partition_columns: Sequence[str],
+    keys_move: bool,
+    newest_first: Sequence[Column],
+    indexed: bool,
+) -> Version:
+    batch, searched = stage(batch, "batch"), base
+    if indexed and (keys_move or newest_first):
+        searched = key_index.candidates(spark, path, base, batch, keys, partition_columns)
+    target = versions.read(spark, path, searched)
     if newest_first:
         batch = _newest(target, batch, keys, newest_first)
     touched = _touched(target, batch, keys, partition_columns, keys_move)

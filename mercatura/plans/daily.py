@@ -16,7 +16,7 @@ from mercatura.plans import staging, suites
 from mercatura.plans.models import Models
 from mercatura.plans.testing import check_models, run_suite
 from mercatura.session import drop_staged
-from mercatura.sources import versions
+from mercatura.sources import key_index, versions
 from mercatura.sources.contracts import CONTRACTS, Contract
 from mercatura.sources.marketplace import RawTables
 from mercatura.sources.raw_csv import apply_contract, cast_timestamps
@@ -80,9 +80,10 @@ def update_staging(spark: SparkSession, models: Models, folder: str) -> dict[str
         if versions.latest(spark, path) is not None:
             batch = increment(models, name, versions.read(spark, path), ts)
         by_month = batch.withColumn("partition_month", F.date_format(ts, "yyyy-MM"))
-        made = upsert_version(spark, path, by_month, keys, ["partition_month"])
+        made = upsert_version(spark, path, by_month, keys, ["partition_month"], indexed=True)
         stored[name] = versions.read(spark, path, made).drop("partition_month")
         versions.expire(spark, path, KEPT_VERSIONS)
+        key_index.expire(spark, path)
     return stored
 
 

@@ -48,7 +48,7 @@ def _fs(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def folder_names(spark: SparkSession, path: str) -> list[str]:
     if not path_exists(spark, path):
         return []
     fs, folder = _fs(spark, path)
@@ -102,7 +102,7 @@ def _manifest(path: str, number: int) -> str:
 
 def numbers(spark: SparkSession, path: str) -> list[int]:
     """The versions of a table that can be read, oldest first."""
-    return [int(n.removesuffix(".json")) for n in _names(spark, f"{path}/versions") if n.endswith(".json")]
+    return [int(n.removesuffix(".json")) for n in folder_names(spark, f"{path}/versions") if n.endswith(".json")]
 
 
 def latest(spark: SparkSession, path: str) -> Version | None:
@@ -163,7 +163,7 @@ def folders_of(spark: SparkSession, path: str, written: str, depth: int) -> list
         found = [
             f"{above}/{name}".strip("/")
             for above in found
-            for name in _names(spark, f"{path}/data/{WRITTEN}={written}/{above}".rstrip("/"))
+            for name in folder_names(spark, f"{path}/data/{WRITTEN}={written}/{above}".rstrip("/"))
             if "=" in name
         ]
     return found
@@ -266,7 +266,7 @@ def _folders(version: Version) -> set[str]:
 def drop_unnamed(spark: SparkSession, path: str) -> list[str]:
     """Delete the folders of writes no version names, left by writers that died; returns their ids."""
     named = {w for n in numbers(spark, path) for w in pinned(spark, path, n).folders.values()}
-    gone = [f for f in _names(spark, f"{path}/data") if f.removeprefix(f"{WRITTEN}=") not in named]
+    gone = [f for f in folder_names(spark, f"{path}/data") if f.removeprefix(f"{WRITTEN}=") not in named]
     for folder in gone:
         drop_path(spark, f"{path}/data/{folder}")
     return [f.removeprefix(f"{WRITTEN}=") for f in gone]

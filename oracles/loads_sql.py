@@ -562,6 +562,35 @@ from m_orders o where order_purchase_timestamp <= timestamp '{CUT}')""",
 )
 
 
+def moved_orders(m: Models) -> DataFrame:
+    """Corrected purchase times move some orders to another month; an index of keys finds their old copies."""
+    spark, path = m.raw.spark, staged_path(m.raw.spark, "moved")
+    by_key = (["order_key"], ["purchase_month"])
+    placed = F.col("order_purchase_timestamp")
+    kept = m.stg_orders.where(placed.isNotNull())
+    upsert.upsert_version(spark, path, by_month(kept), *by_key, indexed=True)
+    for digit, days in ((3, 40), (5, -400)):
+        moved = kept.where((F.col("order_id") % 1000 == digit) & (placed > at(_cut())))
+        moved = moved.withColumn("order_purchase_timestamp", placed + F.make_dt_interval(F.lit(days)))
+        upsert.upsert_version(spark, path, by_month(moved), *by_key, indexed=True)
+    return versions.read(spark, path)
+
+
+register(
+    "upsert_moved_keys",
+    STG_ORDERS + ", purchase_month s",
+    moved_orders,
+    f"""select *, strftime(order_purchase_timestamp, '%Y-%m') as purchase_month
+from (select * replace (
+          case when order_purchase_timestamp <= timestamp '{CUT}' then order_purchase_timestamp
+               when order_id::bigint % 1000 = 3 then order_purchase_timestamp + interval 40 days
+               when order_id::bigint % 1000 = 5 then order_purchase_timestamp - interval 400 days
+               else order_purchase_timestamp end as order_purchase_timestamp),
+          {key('order_id')} as order_key
+      from m_orders where order_purchase_timestamp is not null)""",
+)
+
+
 def upserted_items(m: Models) -> DataFrame:
     """First run without the newest items and with a wrong price on all others."""
     ts = F.col("shipping_limit_date")
