@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from mercatura.llm.common import stage
 
+LARGE = 64
+"""Members of a bucket of several components above which it is dealt anew, if there is a finer way."""
+
 
 def _with_smallest(links: DataFrame) -> DataFrame:
     """``links`` (u, v) and the smallest node among u and all its v, as ``low``."""
@@ -71,6 +74,7 @@ def link_members(
     confirm: Callable[[DataFrame], DataFrame],
     refined: Callable[[DataFrame], DataFrame] | None = None,
     close_refined: Callable[[Column, Column], Column] | None = None,
+    finer: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(node, label) of the linked nodes of ``members`` (key, node, leader).
 
@@ -81,6 +85,11 @@ def link_members(
     several components, pairs across components meet, which cannot miss a link that joins
     two components. A bucket of copies takes one comparison per member. For that second
     step, ``refined`` may give the nodes that are left marks of another kind.
+
+    Buckets of more than ``LARGE`` members that are still in several components are not
+    expanded into pairs where ``finer`` is given: it deals their nodes (node) to other buckets, as
+    members, in which all pairs that can be linked must meet again, and these are linked in the same
+    way. So many unlike nodes in one bucket cost what their finer buckets do.
     """
     stars = members.where("node <> leader").select("leader", "node").distinct()
     stars = stars.join(marks.withColumnRenamed("mark", "mark_v"), "node").withColumnRenamed("node", "v")
@@ -92,11 +101,19 @@ def link_members(
 
     labelled = members.join(first, "node", "left")
     labelled = stage(labelled.select("key", "node", F.coalesce("label", "node").alias("label")), "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = stage(mixed.where("low < high").select("key"), "mixed")
+    ends = (F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"))
+    mixed = stage(labelled.groupBy("key").agg(*ends).where("low < high").select("key", "members"), "mixed")
     apart = stage(labelled.join(mixed, "key"), "apart")
     if refined is not None:
         marks, close = stage(refined(apart.select("node").distinct()), "marks"), close_refined
+    if finer is not None:
+        large = stage(apart.where(F.col("members") > LARGE).select("node").distinct(), "large")
+        apart = apart.where(F.col("members") <= LARGE)
+        if not large.isEmpty():
+            again = link_members(finer(large), marks, close, confirm)
+            links = stage(links.unionByName(again.selectExpr("node AS u", "label AS v")), "links")
+            first = stage(components(links), "components")
+    apart = apart.drop("members")
     homes = apart.groupBy("node").agg(F.collect_list("key").alias("homes"))
     apart = stage(apart.join(marks, "node").join(homes, "node"), "apart")
     sides = [

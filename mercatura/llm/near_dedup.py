@@ -12,6 +12,12 @@ bucket are still in different components, the pairs across components meet too,
 sketches of many more samples. So no link that would join two components is skipped, and groups of
 copies of any size cost about one comparison per member and band.
 
+A large bucket of unlike documents, as a passage that many share makes it, is dealt anew by rare
+shingles. Sets of similarity s have the share s of the larger one in common, so if each set is put in
+one order, rare shingles first, the first ones of each, one more than the share 1 - s, have one in
+common: these are the finer keys, and no link is lost. What many documents share comes last and is
+no key. Rarity is told from a table of counts of a fixed size; any order is right.
+
 With 48 bands of 6 samples a pair of similarity 0.8 has no common bucket with a probability of
 about 5e-7; the sketch turns one away about six standard deviations below its similarity.
 
@@ -56,6 +62,9 @@ COARSE = Sketch(BANDS * ROWS, 1024, 0.15)
 FINE = Sketch(4096, 8192, 0.045)
 """Of sets that are in a bucket of several components."""
 
+COUNTERS = 1 << 18
+"""Counts of shingles, by their hashes, from which rare ones are told."""
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -143,6 +152,51 @@ def fine_marks(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node bigint, mark array<bigint>")
 
 
+def shingle_counts(texts: DataFrame, words: int) -> np.ndarray:
+    """In how many of ``texts`` (text) shingles are, by ``COUNTERS`` of their hashes."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for part in chunks(batch.column(0)):
+                for hashes in shingle_sets(part, words):
+                    np.add.at(met, (hashes % np.uint64(COUNTERS)).astype(np.int64), 1)
+        used = np.flatnonzero(met)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(met[used])], ["counter", "n"])
+
+    counted = texts.select("text").mapInArrow(count, "counter bigint, n bigint")
+    met = counted.groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(COUNTERS, np.int64)
+    out[met["counter"].to_numpy()] = met["n"].to_numpy()
+    return out
+
+
+def rarest(hashes: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """So many of a set's rarest shingles that any set of at least ``percent`` similarity has one of them
+    among its own."""
+    order = np.lexsort((hashes, counts[(hashes % np.uint64(COUNTERS)).astype(np.int64)]))
+    least = -(-len(hashes) * percent // 100)
+    return hashes[order[: len(hashes) - least + 1]]
+
+
+def rare_members(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The members (key, node, leader) of buckets of ``texts`` (node, text) by their rarest shingles."""
+    counts = shingle_counts(texts, words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for part in chunks(batch.column(1)):
+                taken = [rarest(s, counts, percent) for s in shingle_sets(part, words)]
+                nodes = batch.column(0).slice(done, len(part)).to_numpy()
+                done += len(part)
+                keys = np.concatenate(taken).view(np.int64)
+                owners = np.repeat(nodes, [len(t) for t in taken])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(owners)], ["key", "node"])
+
+    return shared_buckets(texts.select("node", "text").mapInArrow(run, "key bigint, node bigint"))
+
+
 def set_digest(hashes: np.ndarray) -> bytes | None:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None
 
@@ -255,8 +309,11 @@ def find_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     def refined(apart: DataFrame) -> DataFrame:
         return fine_marks(texts.join(apart, "node"), words)
 
+    def finer(large: DataFrame) -> DataFrame:
+        return rare_members(texts.join(large, "node"), words, percent)
+
     coarse = nodes.select("node", F.col("sketch").alias("mark"))
-    final = link_members(members, coarse, close(COARSE), confirmed, refined, close(FINE))
+    final = link_members(members, coarse, close(COARSE), confirmed, refined, close(FINE), finer)
     by_digest = nodes.join(final, "node").select("digest", "label")
     rows = sketched.select("doc_id", "n_shingles", "digest").join(by_digest, "digest", "left")
     lone = F.when(F.col("label").isNull(), F.col("digest"))
