@@ -75,6 +75,7 @@ def link_members(
     refined: Callable[[DataFrame], DataFrame] | None = None,
     close_refined: Callable[[Column, Column], Column] | None = None,
     finer: Callable[[DataFrame], DataFrame] | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """(node, label) of the linked nodes of ``members`` (key, node, leader).
 
@@ -89,14 +90,24 @@ def link_members(
     Buckets of more than ``LARGE`` members that are still in several components are not
     expanded into pairs where ``finer`` is given: it deals their nodes (node) to other buckets, as
     members, in which all pairs that can be linked must meet again, and these are linked in the same
-    way. So many unlike nodes in one bucket cost what their finer buckets do.
+    way. So many unlike nodes in one bucket cost what their finer buckets do. ``known`` (node,
+    label) are components found before, whose nodes need not meet each other.
     """
     stars = members.where("node <> leader").select("leader", "node").distinct()
+    if known is not None:
+        for side in ("leader", "node"):
+            named = known.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+            stars = stars.join(named, side, "left")
+            stars = stars.withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+        stars = stars.where("label_leader <> label_node").select("leader", "node")
     stars = stars.join(marks.withColumnRenamed("mark", "mark_v"), "node").withColumnRenamed("node", "v")
     stars = stars.join(marks, F.col("leader") == F.col("node"))
     stars = stars.where(close(F.col("mark"), F.col("mark_v")))
     stars = stage(stars.select(F.col("leader").alias("u"), "v"), "stars")
-    links = stage(confirm(stars), "links")
+    links = confirm(stars)
+    if known is not None:
+        links = links.unionByName(known.selectExpr("node AS u", "label AS v"))
+    links = stage(links, "links")
     first = stage(components(links), "components")
 
     labelled = members.join(first, "node", "left")
@@ -110,9 +121,8 @@ def link_members(
         large = stage(apart.where(F.col("members") > LARGE).select("node").distinct(), "large")
         apart = apart.where(F.col("members") <= LARGE)
         if not large.isEmpty():
-            again = link_members(finer(large), marks, close, confirm)
-            links = stage(links.unionByName(again.selectExpr("node AS u", "label AS v")), "links")
-            first = stage(components(links), "components")
+            first = link_members(finer(large), marks, close, confirm, known=first)
+            links = first.selectExpr("node AS u", "label AS v")
     apart = apart.drop("members")
     homes = apart.groupBy("node").agg(F.collect_list("key").alias("homes"))
     apart = stage(apart.join(marks, "node").join(homes, "node"), "apart")
