@@ -62,6 +62,8 @@ COARSE = Sketch(BANDS * ROWS, 1024, 0.15)
 FINE = Sketch(4096, 8192, 0.045)
 """Of sets that are in a bucket of several components."""
 
+FINE_SETS = 128
+"""Sets that are sketched finely at once."""
 COUNTERS = 1 << 18
 """Counts of shingles, by their hashes, from which rare ones are told."""
 
@@ -143,11 +145,14 @@ def fine_marks(texts: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             done = 0
             for part in chunks(batch.column(1), 500_000):
-                sampled = samples(shingle_sets(part, words), FINE.samples)
-                marks = _lists(odd_sketches(sampled, FINE.bits))
-                nodes = batch.column(0).slice(done, len(part))
-                done += len(part)
-                yield pa.RecordBatch.from_arrays([nodes, marks], ["node", "mark"])
+                sets = shingle_sets(part, words)
+                # A sketch takes about a hundred times its size while it is made.
+                for start in range(0, len(sets), FINE_SETS):
+                    some = sets[start : start + FINE_SETS]
+                    marks = _lists(odd_sketches(samples(some, FINE.samples), FINE.bits))
+                    nodes = batch.column(0).slice(done, len(some))
+                    done += len(some)
+                    yield pa.RecordBatch.from_arrays([nodes, marks], ["node", "mark"])
 
     return texts.select("node", "text").mapInArrow(run, "node bigint, mark array<bigint>")
 
