@@ -140,7 +140,12 @@ def write_folder(
 ) -> tuple[str, int]:
     """Write rows to a folder of their own that no version names yet: its id and the rows written."""
     written, seen = uuid.uuid4().hex, Observation()
-    if partition_by:
+    if partition_by and sort_key:
+        # Rows to be sorted are dealt by their content: rebalancing goes by compressed bytes, and a partition of
+        # rows that compress well would be sorted by a task or two.
+        told = [c for c, kind in df.dtypes if "map<" not in kind]
+        df = df.repartition(*partition_by, F.xxhash64(*told))
+    elif partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_key:
         df = df.sortWithinPartitions(*partition_by, sort_key)

@@ -216,3 +216,15 @@ def test_names_must_not_clash(spark, versions):
     facts = spark.createDataFrame([(1, "a", R1)], "id int, city string, ts timestamp_ntz")
     with pytest.raises(ValueError, match="city"):
         history.as_of_join(facts, versions, "id", "ts")
+
+
+def test_sorted_rows_of_one_partition_are_dealt_over_tasks(spark, tmp_path):
+    """Open rows are one partition, and compress well: bytes do not tell how many a task gets to sort."""
+    path, merge = str(tmp_path / "h"), "spark.sql.adaptive.coalescePartitions.enabled"
+    table = spark.range(2_000).select(F.col("id").cast("int"), *[F.lit("a").alias(c) for c in ("name", "city", "state")])
+    spark.conf.set(merge, "false")  # so small a table would become one partition
+    try:
+        history.append_snapshot(spark, path, table, "id", CHECKS, R1)
+    finally:
+        spark.conf.set(merge, "true")
+    assert len(_files(path)) >= 4 and history.stored_history(spark, path).count() == 2_000
