@@ -141,9 +141,10 @@ def _version_starts(history: DataFrame, key: str, backdate: bool) -> DataFrame:
     )
     if not backdate:
         return versions
-    firsts = versions.groupBy("key").agg(F.min("start").alias("first"))
-    opened = F.when(F.col("start") > F.col("first"), F.col("start"))
-    return versions.join(firsts, "key").select("key", opened.alias("start"), "version")
+    first = F.min("start").over(Window.partitionBy("key"))
+    return versions.withColumn("first", first).select(
+        "key", F.when(F.col("start") > F.col("first"), F.col("start")).alias("start"), "version"
+    )
 
 
 def as_of_join(
@@ -166,11 +167,19 @@ def as_of_join(
     if clash := sorted(set(others) & set(facts.columns)):
         raise ValueError(f"columns in both facts and history: {clash}")
     versions = _version_starts(history, key, backdate)
+    # The key and the time of a fact travel once, as what it is sorted by, unless other types come of the union.
+    sorted_by, kinds = {key: "key", ts: "start"}, dict(facts.dtypes)
+    known = all(kinds.get(c) == dict(versions.dtypes)[s] for c, s in sorted_by.items())
+    carried_columns = [c for c in facts.columns if not (known and c in sorted_by)] or facts.columns
     taken = facts.select(
         F.col(key).alias("key"),
         F.col(ts).alias("start"),
-        F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("fact"),
+        F.struct(*[F.col(f"`{c}`") for c in carried_columns]).alias("fact"),
     )
+
+    def of_fact(column: str) -> Column:
+        return F.col("fact").getField(column) if column in carried_columns else F.col(sorted_by[column])
+
     both = versions.unionByName(taken, allowMissingColumns=True)
     both = both.withColumn("is_fact", F.col("fact").isNotNull())
     order = [F.col("key"), F.col("start").asc_nulls_first(), "is_fact", F.xxhash64("fact")]
@@ -195,6 +204,6 @@ def as_of_join(
     ended = F.col("start") < F.col(f"version.{VALID_TO}")
     valid = F.col("start").isNotNull() & (F.col(f"version.{VALID_TO}").isNull() | ended)
     return found.select(
-        *[F.col("fact").getField(c).alias(c) for c in facts.columns],
+        *[of_fact(c).alias(c) for c in facts.columns],
         *[F.when(valid, F.col("version").getField(c)).alias(c) for c in others],
     )

@@ -130,10 +130,19 @@ def with_version_key(facts: DataFrame, dimension: DataFrame, ident: str, key: st
     return as_of_join(facts, versions, ident, ts, backdate=True).drop(VALID_FROM, VALID_TO)
 
 
-def _order_keys(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    placed = "order_purchase_timestamp"
-    keyed = with_version_key(orders, customers, "customer_id", "customer_key", placed)
-    return keyed.withColumn("date_key", date_key(F.col(placed)))
+def _with_version_start(facts: DataFrame, dimension: DataFrame, ident: str, ts: str, name: str) -> DataFrame:
+    """``facts`` with the time from which the version of ``ident`` valid at ``ts`` counts, under ``name``.
+
+    With the id it makes the version's key (``_version_key``). Keys are text of a hash, which does not
+    compress, so they are made when a fact needs no more shuffles.
+    """
+    versions = dimension.select(ident, VALID_FROM, VALID_TO)
+    return as_of_join(facts, versions, ident, ts, backdate=True).withColumnRenamed(VALID_FROM, name).drop(VALID_TO)
+
+
+def _version_key(ident: str, start: str):
+    """The key that ``dim_customers`` and ``dim_sellers`` give a version; none where there is none."""
+    return F.when(F.col(start).isNotNull(), surrogate_key(ident, start))
 
 
 def fact_order_items(
@@ -142,19 +151,19 @@ def fact_order_items(
     """One row per item with the keys of all dimensions; ``customers`` and ``sellers`` are the
     dimensions with all their versions."""
     placed = "order_purchase_timestamp"
-    narrow = orders.select("order_id", "order_key", "customer_id", placed)
-    keys = _order_keys(narrow, customers).drop("customer_id")
+    narrow = orders.select("order_id", "customer_id", placed)
+    dated = _with_version_start(narrow, customers, "customer_id", placed, "customer_since")
     items = order_items.select(
         "order_id", "order_item_id", "seller_id", "product_id", "price", "freight_value", "shipping_limit_date"
-    ).join(keys, "order_id", "left")
-    return with_version_key(items, sellers, "seller_id", "seller_key", placed).select(
+    ).join(dated.withColumn("is_ordered", F.lit(True)), "order_id", "left")
+    return _with_version_start(items, sellers, "seller_id", placed, "seller_since").select(
         "order_id",
         "order_item_id",
-        "order_key",
-        "customer_key",
-        "seller_key",
+        F.when(F.col("is_ordered"), surrogate_key("order_id")).alias("order_key"),
+        _version_key("customer_id", "customer_since").alias("customer_key"),
+        _version_key("seller_id", "seller_since").alias("seller_key"),
         _key_or_null("product_id").alias("product_key"),
-        "date_key",
+        date_key(F.col(placed)).alias("date_key"),
         "price",
         "freight_value",
         "shipping_limit_date",
@@ -166,11 +175,14 @@ def fact_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     with all its versions."""
     placed, arrived = F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")
     estimated = F.col("order_estimated_delivery_date")
-    return _order_keys(orders, customers).select(
+    since = _with_version_start(
+        orders.drop("order_key"), customers, "customer_id", "order_purchase_timestamp", "customer_since"
+    )
+    return since.select(
         "order_id",
-        "order_key",
-        "customer_key",
-        "date_key",
+        surrogate_key("order_id").alias("order_key"),
+        _version_key("customer_id", "customer_since").alias("customer_key"),
+        date_key(placed).alias("date_key"),
         "order_status",
         days_between(placed, arrived).alias("delivery_days"),
         days_between(placed, estimated).alias("estimated_delivery_days"),

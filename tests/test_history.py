@@ -228,3 +228,11 @@ def test_sorted_rows_of_one_partition_are_dealt_over_tasks(spark, tmp_path):
     finally:
         spark.conf.set(merge, "true")
     assert len(_files(path)) >= 4 and history.stored_history(spark, path).count() == 2_000
+
+
+def test_first_versions_are_found_without_reading_the_history_twice(spark):
+    stored = spark.range(10).selectExpr(
+        "id", "timestamp_ntz '2020-01-01' as dbt_valid_from", "cast(null as timestamp_ntz) as dbt_valid_to"
+    )
+    plan = history._version_starts(stored, "id", True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 10") == 1

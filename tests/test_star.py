@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import pytest
 
+from mercatura.operators import history
 from mercatura.plans import star
 
 
@@ -65,3 +66,44 @@ def test_keys_are_unique_per_version_and_facts_take_one(spark):
     star.require_same_grain(keyed, sellers, ["seller_key"])
     joined = keyed.join(sellers.drop("seller_id"), "seller_key", "left")
     assert {r.item: r.seller_city for r in joined.collect()} == {1: "A", 2: "A", 3: "B", 4: "A", 5: None, 6: None}
+
+
+def test_keys_are_made_after_the_last_shuffle(spark, monkeypatch):
+    """No text of a hash is staged with a fact; the keys are those of the dimensions."""
+    day = lambda n: dt.datetime(2018, 1, 1) + dt.timedelta(days=n)
+    period = "dbt_valid_from timestamp_ntz, dbt_valid_to timestamp_ntz"
+    place = [F.lit("1").alias("zip_code_prefix")]
+    sellers = star.dim_sellers(
+        spark.createDataFrame([(1, "A", day(0), day(9)), (1, "B", day(9), None)], f"seller_id int, seller_city string, {period}")
+        .select("*", F.lit("S").alias("seller_state"), *place)
+    )
+    customers = star.dim_customers(
+        spark.createDataFrame([(7, 70, "C", day(5), None)], f"customer_id int, customer_unique_id int, customer_city string, {period}")
+        .select("*", F.lit("S").alias("customer_state"), *place)
+    )
+    orders = spark.createDataFrame(
+        [(10, "k10", 7, day(2)), (11, "k11", 8, day(9)), (12, "k12", 7, None)],
+        "order_id int, order_key string, customer_id int, order_purchase_timestamp timestamp_ntz",
+    )
+    items = spark.createDataFrame(
+        [(10, 1, 1), (10, 2, None), (11, 1, 1), (12, 1, 1), (99, 1, 1), (None, 1, 1)],
+        "order_id int, order_item_id int, seller_id int",
+    ).selectExpr("*", "5 as product_id", "1.00 as price", "0.50 as freight_value", "timestamp_ntz '2018-02-01' as shipping_limit_date")
+    staged, stage = [], history.stage
+    monkeypatch.setattr(history, "stage", lambda df, label: staged.append(df) or stage(df, label))
+    facts = star.fact_order_items(items, orders, customers, sellers)
+    assert staged and not any("_key" in df.schema.simpleString() for df in staged)
+    named = (
+        facts.join(sellers.select("seller_key", "seller_city"), "seller_key", "left")
+        .join(customers.select("customer_key", "customer_city"), "customer_key", "left")
+        .withColumn("known", F.col("order_key") == F.md5(F.col("order_id").cast("string")))
+    )
+    found = {(r.order_id, r.order_item_id): (r.known, r.seller_city, r.customer_city, r.date_key) for r in named.collect()}
+    assert found == {
+        (10, 1): (True, "A", "C", "20180103"),
+        (10, 2): (True, None, "C", "20180103"),
+        (11, 1): (True, "B", None, "20180110"),
+        (12, 1): (True, None, None, None),
+        (99, 1): (None, None, None, None),
+        (None, 1): (None, None, None, None),
+    }
