@@ -523,11 +523,15 @@ def refreshed_category(m: Models) -> DataFrame:
     before = m.stg_orders.where(~late).withColumn(
         "order_status", F.when(stale, "processing").otherwise(F.col("order_status"))
     )
-    given = (m.stg_order_items, m.stg_products, m.stg_reviews)
+    # Read three times: the latest copies of lines and reviews are found once.
+    items = m.stg_order_items.select("order_id", "product_id", "price", "freight_value")
+    reviews = m.stg_reviews.select("order_id", "review_id", "review_score", "review_creation_date")
+    items, reviews = stage(items, "items"), stage(reviews, "reviews")
+    given = (items, m.stg_products, reviews)
     old = stage(marts.mart_category_performance(before, *given), "mart")
     batch = m.stg_orders.where(late | stale)
     feed = stage(upsert.change_rows(before, batch, ["order_id"]), "feed")
-    touched = stage(marts.touched_categories(feed, m.stg_order_items, m.stg_products), "touched")
+    touched = stage(marts.touched_categories(feed, items, m.stg_products), "touched")
     after = upsert.upsert(before, batch, ["order_id"])
     return marts.refresh_category_performance(old, touched, after, *given)
 
