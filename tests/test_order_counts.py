@@ -71,3 +71,16 @@ def test_no_group_holds_its_orders(spark, world, mart):
     plan = made._jdf.queryExecution().toString()
     assert "distinct" not in plan.split("== Physical Plan ==")[0]
     assert "collect_list" not in plan
+
+
+def test_a_refresh_finds_the_latest_lines_once(spark, monkeypatch):
+    from mercatura.plans.models import Models
+    from mercatura.sources.marketplace import Marketplace
+    from oracles import loads_sql
+
+    read = []
+    keep = lambda f: lambda *given: read.extend(given) or f(*given)
+    monkeypatch.setattr(loads_sql.marts, "touched_categories", keep(marts.touched_categories))
+    loads_sql.refreshed_category(Models(Marketplace(spark, "/root/testdata/sf0.001")))
+    plan = read[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "product_id" in read[1].columns and "l_orderkey" not in plan
