@@ -210,10 +210,13 @@ def add_partition_columns(df: DataFrame, date_column: str) -> DataFrame:
     if column not in df.columns:
         raise ValueError(f"cannot partition: no {date_column} among {df.columns}")
     parsed = parse_timestamp(F.col(column).cast("string"))
+    year, month = F.year(parsed), F.month(parsed)
+    # A formatter per row costs more than the parsing; only years of other than four digits need it.
+    plain = F.when(year.between(1, 9999), F.lpad(year.cast("string"), 4, "0"))
     return df.withColumns(
         {
-            "partition_year": F.date_format(parsed, "yyyy"),
-            "partition_month": F.date_format(parsed, "MM"),
+            "partition_year": plain.otherwise(F.date_format(parsed, "yyyy")),
+            "partition_month": F.lpad(month.cast("string"), 2, "0"),
         }
     )
 
@@ -235,6 +238,19 @@ def timestamp_failures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.unpivot([], present, "column_name", "unparsed_rows")
 
 
+def observed_timestamps(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """``cast_timestamps`` with the counts of ``observed_failures``, each value parsed once; adds a column
+    per timestamp that ``apply_contract`` drops."""
+    present = [c for c in columns if c in df.columns]
+    parsed = {c: parse_timestamp(F.col(c).cast("string")) for c in present}
+    # The parsed value is asked first, so that it is a common part of both columns.
+    unread = {f"_unread_{c}": parsed[c].isNull() & F.col(c).isNotNull() for c in present}
+    counts = [F.count(F.when(F.col(f"_unread_{c}"), 1)).alias(f"unparsed_{c}") for c in present]
+    seen = Observation()
+    cast = df.withColumns(parsed | unread) if present else df
+    return cast.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
 def observed_failures(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Observation]:
     """The same counts, filled in when ``df`` is written: no pass of their own."""
     seen = Observation()

@@ -18,9 +18,8 @@ from mercatura.sources.raw_csv import (
     PARTITION_COLUMNS,
     add_partition_columns,
     apply_contract,
-    cast_timestamps,
     drop_partition_columns,
-    observed_failures,
+    observed_timestamps,
     observed_violations,
     read_files,
     repair_columns,
@@ -166,8 +165,8 @@ def reload_table(
     replaced.
     """
     processed = drop_partition_columns(repair_columns(read_table(spark, source), contract))
-    checked, seen = observed_failures(processed, contract.timestamps)
-    typed = apply_contract(cast_timestamps(checked, contract.timestamps), contract, all_null)
+    cast, seen = observed_timestamps(processed, contract.timestamps)
+    typed = apply_contract(cast, contract, all_null)
     guarded, broken = observed_violations(typed, contract)
 
     def check(_: int) -> None:

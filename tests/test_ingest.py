@@ -312,3 +312,28 @@ def test_blank_first_lines_subfolders_and_compressed_files(spark, tmp_path):
     (root / "empty.csv").write_bytes(b"\n\n")
     with pytest.raises(raw_csv.HeaderMissing, match="empty.csv"):
         raw_csv.read_files(spark, str(root))
+
+
+def test_each_timestamp_of_a_reload_is_parsed_once(spark):
+    rows = [("soon", None), ("2018-01-02 03:04:05", "n/a"), (None, "2018-01-02")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    cast, seen = raw_csv.observed_timestamps(df, ["a", "b", "absent"])
+    at = dt.datetime(2018, 1, 2, 3, 4, 5)
+    assert [(r.a, r.b) for r in cast.select("a", "b").collect()] == [
+        (None, None), (at, None), (None, dt.datetime(2018, 1, 2))
+    ]
+    assert seen.get == {"rows": 3, "unparsed_a": 1, "unparsed_b": 1}
+    plan = cast._jdf.queryExecution().optimizedPlan().toString()
+    counted = next(line for line in plan.splitlines() if "CollectMetrics" in line)
+    assert "_unread_a" in counted and "timestamp_ntz" not in counted
+
+
+def test_partitions_of_odd_years_are_those_of_the_formatter(spark):
+    dates = ["2018-01-02 03:04:05", "0987-11-30", "0001-01-01", "0000-05-06", "-0044-03-15", "+12345-10-09", "soon", None]
+    df = spark.createDataFrame([(d,) for d in dates], "at string")
+    made = raw_csv.add_partition_columns(df, "at")
+    parsed = raw_csv.parse_timestamp(F.col("at"))
+    wanted = df.select("at", F.date_format(parsed, "yyyy"), F.date_format(parsed, "MM"))
+    assert [tuple(r) for r in made.collect()] == [tuple(r) for r in wanted.collect()]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("date_format(") == 1
