@@ -18,6 +18,11 @@ one order, rare shingles first, the first ones of each, one more than the share
 common: these are the finer keys, and no link is lost. What many documents share comes last and is
 no key. Rarity is told from a table of counts of a fixed size; any order is right.
 
+Finer buckets are large where many sets are alike, about as much as is wanted. There each set is told by
+what sets it apart from the centre of its group. Those near the centre are linked to one node; of the
+others, two are similar only if enough of what sets them apart is common, and again the rarest first shingles
+of that are keys. This too is exact, whatever the centre is, see ``around_hubs``.
+
 With 48 bands of 6 samples a pair of similarity 0.8 has no common bucket with a probability of
 about 5e-7; the sketch turns one away about six standard deviations below its similarity.
 
@@ -66,6 +71,8 @@ FINE_SETS = 128
 """Sets that are sketched finely at once."""
 COUNTERS = 1 << 18
 """Counts of shingles, by their hashes, from which rare ones are told."""
+BROADCAST_SHINGLES = 500_000
+"""Most shingles (8 bytes each) of centres that are broadcast; more are shuffled."""
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -202,6 +209,145 @@ def rare_members(texts: DataFrame, words: int, percent: int) -> DataFrame:
     return shared_buckets(texts.select("node", "text").mapInArrow(run, "key bigint, node bigint"))
 
 
+def centres(texts: DataFrame, placed: DataFrame, words: int) -> DataFrame:
+    """(hub, centre): the shingles that more than half of a hub's own nodes have. Any set is right."""
+    own = placed.where("label = hub").select("node", "hub")
+    rows = texts.join(own, "node").select("hub", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for part in chunks(batch.column(1), 500_000):
+                sets = shingle_sets(part, words)
+                hubs = batch.column(0).slice(done, len(sets)).to_numpy()
+                done += len(sets)
+                of = np.repeat(hubs, [len(s) for s in sets])
+                found = np.concatenate(sets).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(found)], ["hub", "shingle"])
+
+    met = rows.mapInArrow(run, "hub bigint, shingle bigint").groupBy("hub", "shingle")
+    met = met.agg(F.count(F.lit(1)).alias("n"))
+    sizes = own.groupBy("hub").agg(F.count(F.lit(1)).alias("size"))
+    common = met.join(F.broadcast(sizes), "hub").where("2 * n > size")
+    return stage(common.groupBy("hub").agg(F.collect_list("shingle").alias("centre")), "centres")
+
+
+def differences(texts: DataFrame, placed: DataFrame, words: int, percent: int) -> DataFrame:
+    """``placed`` (node, label, hub) with the shingles that are in a node's set or the centre of its hub but
+    not in both (rest), the size of the set, and its weight: two sets are similar enough where
+    2 * (100 + percent) times the number of shingles common to their rests is at least the sum of their weights."""
+    middle = centres(texts, placed, words)
+    total = middle.agg(F.sum(F.size("centre"))).first()[0] or 0
+    if total <= BROADCAST_SHINGLES:
+        middle = F.broadcast(middle)
+    rows = texts.join(placed, "node").join(middle, "hub", "left").select("node", "label", "hub", "text", "centre")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for part in chunks(batch.column(3), 500_000):
+                sets = shingle_sets(part, words)
+                piece = batch.slice(done, len(sets))
+                done += len(sets)
+                rests = []
+                for s, centre in zip(sets, piece.column(4)):
+                    of_hub = np.array([], np.int64) if not centre.is_valid else centre.values.to_numpy()
+                    rests.append(np.setxor1d(s, of_hub.view(np.uint64), assume_unique=True))
+                sizes = np.array([len(s) for s in sets], np.int64)
+                apart = np.array([len(r) for r in rests], np.int64)
+                flat = pa.array(np.concatenate(rests).view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *piece.columns[:3],
+                        pa.array(sizes),
+                        pa.array((100 + percent) * apart - (100 - percent) * sizes),
+                        pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(apart)]).astype(np.int32), flat),
+                    ],
+                    ["node", "label", "hub", "size", "weight", "rest"],
+                )
+
+    kind = "node bigint, label bigint, hub bigint, size bigint, weight bigint, rest array<bigint>"
+    return stage(rows.mapInArrow(run, kind), "differences")
+
+
+def first_of_rests(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """(key, node, label, weight, far, left) of ``rows`` of ``differences`` with the ``low`` weight of their hub:
+    so many of the rarest shingles of each rest that similar sets, one of them far, have one of these in
+    common. ``left``: how many of the rest come later."""
+    share = 2 * (100 + percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, left, taken = [], [], []
+            low, weight, size, hubs = (
+                batch.column(c).to_numpy() for c in ("low", "weight", "size", "hub")
+            )
+            far = weight + low > 0
+            # Of the common shingles: what the least weight on the other side asks for, and what the sizes do.
+            asked = -(-(weight + np.where(far, low, 1 - low)) // share)
+            for i, rest in enumerate(batch.column("rest")):
+                hashes = rest.values.to_numpy().view(np.uint64)
+                least = max(1, asked[i], len(hashes) - (100 - percent) * size[i] // percent)
+                order = np.lexsort((hashes, counts[(hashes % np.uint64(COUNTERS)).astype(np.int64)]))
+                some = order[: max(0, len(hashes) - least + 1)]
+                found.append(mix(hashes[some] * _ODD + hubs[i : i + 1].view(np.uint64)))
+                left.append(len(hashes) - 1 - np.arange(len(some)))
+                taken.append(len(some))
+            if not sum(taken):
+                continue
+            of = np.repeat(np.arange(len(taken)), taken)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(found).view(np.int64)),
+                    *(batch.column(c).take(pa.array(of)) for c in ("node", "label", "weight")),
+                    pa.array(far[of]),
+                    pa.array(np.concatenate(left)),
+                ],
+                ["key", "node", "label", "weight", "far", "left"],
+            )
+
+    kind = "key bigint, node bigint, label bigint, weight bigint, far boolean, left bigint"
+    return rows.mapInArrow(run, kind)
+
+
+def around_hubs(
+    texts: DataFrame, placed: DataFrame, words: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links (u, v) and pairs to confirm (u, v), which join all that are similar enough of ``placed`` (node,
+    label, hub) with the same hub, see ``link_members``.
+
+    The node of the least weight is the nearest to the centre. Whose weight with that is 0 or less is linked
+    to it; all others are far. For a far one and any other to be similar, their rests must have
+    shingles in common, more the farther they are, and few are left where many of a group are alike.
+    """
+    rows = differences(texts, placed, words, percent)
+    nearest = F.min(F.struct("weight", "node")).alias("nearest")
+    lows = rows.groupBy("hub").agg(nearest).select("hub", "nearest.node", "nearest.weight")
+    lows = stage(lows.toDF("hub", "nearest", "low"), "lows")
+    rows = rows.join(F.broadcast(lows), "hub")
+    links = rows.where("weight + low <= 0 and node <> nearest").selectExpr("nearest AS u", "node AS v")
+
+    met = rows.select(F.explode("rest").alias("shingle"))
+    met = met.groupBy(F.col("shingle").bitwiseAND(F.lit(COUNTERS - 1)).alias("counter"))
+    met = met.agg(F.count(F.lit(1)).alias("n")).toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[met["counter"].to_numpy()] = met["n"].to_numpy()
+    keyed = stage(first_of_rests(rows, counts, percent), "keyed")
+    u, v = (
+        keyed.select(*[F.col(c).alias(f"{c}_{side}") for c in keyed.columns]) for side in ("u", "v")
+    )
+    later = F.least("left_u", "left_v") + 1
+    meets = (
+        (F.col("key_u") == F.col("key_v"))
+        & (F.col("label_u") != F.col("label_v"))
+        & (~F.col("far_v") | (F.col("node_u") < F.col("node_v")))
+        & (later * (2 * (100 + percent)) >= F.col("weight_u") + F.col("weight_v"))
+    )
+    pairs = u.where("far_u").join(v, meets)
+    pairs = pairs.select(F.least("node_u", "node_v").alias("u"), F.greatest("node_u", "node_v").alias("v"))
+    return links, pairs.distinct()
+
+
 def set_digest(hashes: np.ndarray) -> bytes | None:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None
 
@@ -317,8 +463,13 @@ def find_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     def finer(large: DataFrame) -> DataFrame:
         return rare_members(texts.join(large, "node"), words, percent)
 
+    def around(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return around_hubs(texts, placed, words, percent)
+
     coarse = nodes.select("node", F.col("sketch").alias("mark"))
-    final = link_members(members, coarse, close(COARSE), confirmed, refined, close(FINE), finer)
+    final = link_members(
+        members, coarse, close(COARSE), confirmed, refined, close(FINE), finer, around=around
+    )
     by_digest = nodes.join(final, "node").select("digest", "label")
     rows = sketched.select("doc_id", "n_shingles", "digest").join(by_digest, "digest", "left")
     lone = F.when(F.col("label").isNull(), F.col("digest"))

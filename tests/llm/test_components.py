@@ -122,3 +122,81 @@ def test_many_texts_and_none_in_the_counts(spark):
     texts = spark.createDataFrame([("a b c",), ("a b d",), (None,), ("",)], "text string")
     assert int(near_dedup.shingle_counts(texts, 2).sum()) == 4
     assert int(near_dedup.shingle_counts(texts.limit(0), 2).sum()) == 0
+
+
+def alike_texts(documents, seed=5, size=90, most=20):
+    """Variants of one text, with few to many words changed: about the wanted similarity from each other."""
+    rng = random.Random(seed)
+    shared = [f"p{i}" for i in range(size)]
+    texts = []
+    for i in range(documents):
+        text = list(shared)
+        for at in rng.sample(range(size), int(most * rng.random() ** 1.5)):
+            text[at] = f"e{rng.randrange(10**9)}"
+        texts.append(" ".join(text))
+    return texts
+
+
+def similar_sets(texts, words):
+    """Pairs of places of texts that are linked by definition."""
+    split = [t.split() for t in texts]
+    sets = [{tuple(w[i : i + words]) for i in range(len(w) - words + 1)} for w in split]
+    for i, j in combinations(range(len(texts)), 2):
+        common = len(sets[i] & sets[j])
+        if 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+            yield i, j
+
+
+def joined(links):
+    """The smallest node that each node of ``links`` is joined with."""
+    root = {}
+    for u, v in links:
+        low, high = sorted((root.setdefault(u, u), root.setdefault(v, v)))
+        if low != high:
+            root = {n: low if r == high else r for n, r in root.items()}
+    return root
+
+
+def test_many_sets_about_as_similar_as_wanted_take_few_pairs(spark, monkeypatch):
+    words = 2
+    monkeypatch.setattr(components, "LARGE", 8)
+    compared = []
+    plain = near_dedup.confirm
+
+    def confirm(pairs, words, percent):
+        compared.append(pairs.select("u", "v").count())
+        return plain(pairs, words, percent)
+
+    monkeypatch.setattr(near_dedup, "confirm", confirm)
+    texts = alike_texts(500, most=14)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_dedup.find_groups(docs, words).collect()}
+    root = joined(similar_sets(texts, words))
+    assert found == {i: root.get(i, i) for i in range(len(texts))}
+    # All after the first, where each set meets the leaders of its buckets.
+    assert sum(compared[1:]) < len(texts)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_around_hubs_joins_what_all_pairs_do(spark, seed):
+    rng = random.Random(seed)
+    texts = alike_texts(60, seed) + alike_texts(30, seed, 40, 10) + [f"x{i} y z w v" for i in range(20)]
+    hubs = [components.NO_HUB, 3, 70, 95]
+    placed = {(n, rng.choice(hubs)) for n in range(len(texts)) for _ in range(2)} | {(n, 3) for n in range(40)}
+    # The hub of 95 has no node of its own, the others have one or several.
+    labels = [3 if n < 6 else 70 if n == 71 else n if n != 95 else 94 for n in range(len(texts))]
+    known = [(n, low) for n, low in enumerate(labels) if n != low]
+    links, pairs = near_dedup.around_hubs(
+        spark.createDataFrame(list(enumerate(texts)), "node long, text string"),
+        spark.createDataFrame([(n, labels[n], h) for n, h in placed], "node long, label long, hub long"),
+        2,
+        80,
+    )
+    similar = set(similar_sets(texts, 2))
+    sure = {tuple(sorted(r)) for r in links.collect()}
+    looked_at = {tuple(r) for r in pairs.collect()}
+    within = {(u, v) for u, v in similar if any((u, h) in placed and (v, h) in placed for h in hubs)}
+    via_centres = joined([*known, *sure, *(similar & looked_at)])
+    assert sure and looked_at and sure <= similar
+    assert via_centres == joined([*known, *within])
+    assert len(looked_at) < len(texts) ** 2 / 10
