@@ -2,30 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercatura import session
+from mercatura.session import shuffles_freed
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
 
-@contextmanager
-def shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the queries run inside go as soon as each query ends."""
-    before = spark.conf.get(FREE_SHUFFLES, "false")
-    spark.conf.set(FREE_SHUFFLES, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(FREE_SHUFFLES, before)
-
-
 def small_batches(spark: SparkSession, rows: int = 2_000, size: str = "8m") -> None:
     """Hand rows to Python in batches of a few MB: with whole texts, the usual 10,000 rows are
     tens of MB in the JVM, in Arrow and in each worker at once."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from mercatura.functions.calendar import days_between, month_start
 from mercatura.functions.measures import money_sum
-from mercatura.operators.dedupe import first_per_key
+from mercatura.operators.dedupe import first_per_key, mark_first_copy
 from mercatura.operators.ranking import sequence_per_key
 
 
@@ -58,6 +58,60 @@ def delivered(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("order_status") == "delivered")
 
 
+def with_payment_types(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """The payment summary, and ``payment_types``: the order's payment types with their rows (type_rows), null
+    without a payment. An order with very many payments shrinks to its few types on the map side."""
+    per_type = payments.groupBy("order_id", "payment_type").agg(
+        money_sum(F.col("payment_value")).alias("_paid"),
+        F.max("payment_installments").alias("_installments"),
+        F.count(F.lit(1)).alias("type_rows"),
+    )
+    summary = per_type.groupBy("order_id").agg(
+        F.sum("_paid").cast("decimal(20,2)").alias("_paid"),
+        F.max("_installments").alias("max_installments"),
+        F.sum("type_rows").alias("payment_count"),
+        F.collect_list(F.struct("payment_type", "type_rows")).alias("payment_types"),
+    )
+    return (
+        orders.join(summary, "order_id", "left")
+        .withColumn("total_order_value", F.coalesce("_paid", F.lit(0).cast("decimal(20,2)")))
+        .drop("_paid")
+    )
+
+
+def order_facts(
+    orders: DataFrame, customers: DataFrame, payments: DataFrame, reviews: DataFrame
+) -> DataFrame:
+    """All that the marts ask about orders, with their payments, latest review and customer.
+
+    A row per row of ``orders`` and row of its customer: ``once`` is true for one row of each row of
+    ``orders``, ``first_copy`` for the rows of one copy of each order, a delivered one if there is one.
+    """
+    asked = orders.select(
+        "order_id",
+        "customer_id",
+        "order_status",
+        "order_purchase_timestamp",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    )
+    delivered_first = [(F.col("order_status") == "delivered").desc_nulls_last()]
+    known = mark_first_copy(asked, "order_id", "first_copy", delivered_first)
+    known = with_latest_review(with_payment_types(known, payments), reviews)
+    # Orders without an id have a customer and a time, but nothing that is joined by the id.
+    unknown = asked.where(F.col("order_id").isNull())
+    unknown = unknown.withColumn("total_order_value", F.lit(0).cast("decimal(20,2)"))
+    every = known.unionByName(unknown, allowMissingColumns=True)
+    people = mark_first_copy(
+        customers.select("customer_id", "customer_unique_id", "customer_state"), "customer_id", "once"
+    )
+    return (
+        with_customer(every, people, "customer_unique_id", "customer_state", "once")
+        .withColumn("once", F.coalesce("once", F.lit(True)))
+        .drop("customer_id", "review_creation_date")
+    )
+
+
 def int_orders_enriched(
     orders: DataFrame, customers: DataFrame, payments: DataFrame, reviews: DataFrame
 ) -> DataFrame:
@@ -166,12 +220,14 @@ def int_customer_enriched(
     )
 
 
+def arrived(orders: DataFrame) -> DataFrame:
+    return delivered(orders).where(F.col("order_delivered_customer_date").isNotNull())
+
+
 def delivered_with_corridor_end(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Delivered orders that arrived, with the state they went to."""
-    arrived = delivered(orders).where(F.col("order_delivered_customer_date").isNotNull())
-    return with_customer(arrived, customers, "customer_state").withColumnRenamed(
-        "customer_state", "destination_state"
-    )
+    known = with_customer(arrived(orders), customers, "customer_state")
+    return known.withColumnRenamed("customer_state", "destination_state")
 
 
 def corridor() -> Column:

@@ -6,6 +6,9 @@ items are first counted per order and group, and the order's attributes are then
 weighted with that count: the same numbers, but the join and everything after it
 run on the smaller, already combined rows, and an order or seller that holds a
 third of all items arrives as one row per map task.
+
+Each mart is a function of tables, and of ``order_facts`` (``..._of_facts``) where several marts
+are made of facts and items that are stored once. Both lead to one function with the measures.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from mercatura.operators.dedupe import mark_first_copy
 from mercatura.operators.distinct import distinct_count
 from mercatura.operators.selection import Shares, with_shares
 from mercatura.plans.enrich import (
+    arrived,
     corridor,
     delivered,
     delivered_with_corridor_end,
@@ -53,6 +57,11 @@ def _orders_of_group(approximate: bool) -> Column:
     return F.count(F.when(F.col("first_copy"), 1))
 
 
+def _rows_of_orders(facts: DataFrame) -> DataFrame:
+    """One of the rows of ``order_facts`` for each row of the orders."""
+    return facts.where("once")
+
+
 # ── Category performance ─────────────────────────────────────────────────────
 
 
@@ -112,6 +121,25 @@ def mart_category_performance(
     """
     done = delivered(orders).select("order_id", delivery_delay_days().alias("delivery_delay_days"))
     outcomes = with_latest_review(mark_first_copy(done, "order_id", "first_copy"), reviews)
+    return _category_performance(outcomes, order_items, products, once_per_order, approximate)
+
+
+def category_performance_of_facts(
+    facts: DataFrame, order_items: DataFrame, products: DataFrame
+) -> DataFrame:
+    outcomes = delivered(_rows_of_orders(facts)).select(
+        "order_id", "first_copy", "review_score", delivery_delay_days().alias("delivery_delay_days")
+    )
+    return _category_performance(outcomes, order_items, products)
+
+
+def _category_performance(
+    outcomes: DataFrame,
+    order_items: DataFrame,
+    products: DataFrame,
+    once_per_order: bool = False,
+    approximate: bool = False,
+) -> DataFrame:
     per_order = items_per_order_and_category(order_items, products).join(outcomes, "order_id")
     weight = F.lit(1) if once_per_order else F.col("items")
     return per_order.groupBy("category_name_english").agg(*_category_measures(weight, approximate))
@@ -158,6 +186,14 @@ def mart_customer_cohorts(
     length of the calendar, and only first and second day are compared.
     """
     placed = with_customer(live_orders(orders), customers, "customer_unique_id")
+    return _customer_cohorts(placed, approximate)
+
+
+def customer_cohorts_of_facts(facts: DataFrame) -> DataFrame:
+    return _customer_cohorts(live_orders(facts))
+
+
+def _customer_cohorts(placed: DataFrame, approximate: bool = False) -> DataFrame:
     ts = F.col("order_purchase_timestamp")
     days = placed.groupBy("customer_unique_id", F.to_date(ts).alias("day")).agg(
         # An order given twice is one order; its copies have one day.
@@ -210,9 +246,22 @@ def mart_delivery_analysis(
     All times are an order's, so its items are counted per seller first: an order that holds
     very many items reaches both joins as one row per seller.
     """
-    ends = delivered_with_corridor_end(orders, customers).select(
-        "order_id", "destination_state", *delivery_times()
+    return _delivery_analysis(
+        delivered_with_corridor_end(orders, customers), order_items, sellers, floor
     )
+
+
+def delivery_analysis_of_facts(
+    facts: DataFrame, order_items: DataFrame, sellers: DataFrame
+) -> DataFrame:
+    ends = arrived(facts).withColumnRenamed("customer_state", "destination_state")
+    return _delivery_analysis(ends, order_items, sellers)
+
+
+def _delivery_analysis(
+    ends: DataFrame, order_items: DataFrame, sellers: DataFrame, floor: int = CORRIDOR_FLOOR
+) -> DataFrame:
+    ends = ends.select("order_id", "destination_state", *delivery_times())
     per_order = order_items.groupBy("order_id", "seller_id").agg(
         F.count(F.lit(1)).alias("items"),
         money_sum(F.col("freight_value")).alias("freight"),
@@ -299,7 +348,29 @@ def mart_payment_behavior(
     # An order without payments is in no group.
     marked = mark_first_copy(orders.select("order_id", "order_status"), "order_id", "first_copy")
     known = with_latest_review(marked.join(payments_per_type(payments), "order_id"), reviews)
+    return _payment_behavior(known, once_per_order, approximate)
+
+
+def payment_behavior_of_facts(facts: DataFrame) -> DataFrame:
+    paid = _rows_of_orders(facts).where(F.col("payment_types").isNotNull())
+    known = paid.select(
+        "order_id",
+        "first_copy",
+        "order_status",
+        "review_score",
+        F.col("total_order_value").alias("paid"),
+        "max_installments",
+        "payment_count",
+        F.posexplode("payment_types").alias("place", "type"),
+    )
+    return _payment_behavior(
+        known.select("*", "type.*", (F.col("place") == 0).alias("first_type"))
+    )
+
 
+def _payment_behavior(
+    known: DataFrame, once_per_order: bool = False, approximate: bool = False
+) -> DataFrame:
     def group(dimension: str, value: Column, rows: Column) -> Column:
         weight = F.lit(1).cast("bigint") if once_per_order else rows
         return F.struct(
@@ -351,7 +422,11 @@ def customer_metrics(
     done = delivered(orders).select("order_id", "customer_id", "order_purchase_timestamp")
     known = with_customer(done, customers, "customer_unique_id")
     known = with_latest_review(with_payment_summary(known, payments), reviews)
-    newest = delivered(orders).agg(F.max("order_purchase_timestamp")).scalar()
+    return _customer_metrics(known, done, approximate)
+
+
+def _customer_metrics(known: DataFrame, done: DataFrame, approximate: bool = False) -> DataFrame:
+    newest = done.agg(F.max("order_purchase_timestamp")).scalar()
     ts = F.col("order_purchase_timestamp")
     return (
         known.groupBy("customer_unique_id")
@@ -385,8 +460,17 @@ def mart_rfm_segmentation(
     orders: DataFrame, customers: DataFrame, payments: DataFrame, reviews: DataFrame
 ) -> DataFrame:
     """Quintile scores for every person, 5 best, and a segment label."""
+    return _rfm_segmentation(customer_metrics(orders, customers, payments, reviews))
+
+
+def rfm_segmentation_of_facts(facts: DataFrame) -> DataFrame:
+    done = delivered(facts)
+    return _rfm_segmentation(_customer_metrics(done, done))
+
+
+def _rfm_segmentation(metrics: DataFrame) -> DataFrame:
     scored = with_shares(
-        customer_metrics(orders, customers, payments, reviews),
+        metrics,
         "customer_unique_id",
         {
             "recency_tile": Shares("days_since_last_order", 5),
@@ -448,6 +532,31 @@ def mart_seller_performance(
     known = with_latest_review(
         with_payment_summary(mark_first_copy(done, "order_id", "first_copy"), payments), reviews
     )
+    return _seller_performance(known, order_items, sellers, once_per_order, approximate)
+
+
+def seller_performance_of_facts(
+    facts: DataFrame, order_items: DataFrame, sellers: DataFrame
+) -> DataFrame:
+    known = delivered(_rows_of_orders(facts)).select(
+        "order_id",
+        "first_copy",
+        "order_purchase_timestamp",
+        "total_order_value",
+        "review_score",
+        is_on_time().alias("is_on_time"),
+        delivery_delay_days().alias("delivery_delay_days"),
+    )
+    return _seller_performance(known, order_items, sellers)
+
+
+def _seller_performance(
+    known: DataFrame,
+    order_items: DataFrame,
+    sellers: DataFrame,
+    once_per_order: bool = False,
+    approximate: bool = False,
+) -> DataFrame:
     per_order = order_items.groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("items"))
     weight = F.lit(1) if once_per_order else F.col("items")
     score, ts = F.col("review_score"), F.col("order_purchase_timestamp")

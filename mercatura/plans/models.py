@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from mercatura.plans import enrich, marts, staging
+from mercatura.session import shuffles_freed, stage
 
 
 class Models:
@@ -126,3 +128,48 @@ class Models:
             self.stg_payments,
             self.stg_reviews,
         )
+
+
+class StagedModels(Models):
+    """The models with all marts made of two tables staged once: what the marts ask about orders and about
+    items. For runs over several marts, as each would join, deduplicate and shuffle these anew.
+    """
+
+    def __init__(self, models: Models):
+        super().__init__(
+            models.raw, stg_products=models.stg_products, stg_sellers=models.stg_sellers
+        )
+        items = models.stg_order_items.select(
+            "order_id", "product_id", "seller_id", "price", "freight_value"
+        )
+        facts = enrich.order_facts(
+            models.stg_orders, models.stg_customers, models.stg_payments, models.stg_reviews
+        )
+        with shuffles_freed(items.sparkSession), ThreadPoolExecutor(2) as pool:
+            self.items, self.facts = pool.map(
+                lambda table, name: stage(table, name, "zstd"), (items, facts), ("items", "order-facts")
+            )
+
+    @cached_property
+    def mart_category_performance(self) -> DataFrame:
+        return marts.category_performance_of_facts(self.facts, self.items, self.stg_products)
+
+    @cached_property
+    def mart_customer_cohorts(self) -> DataFrame:
+        return marts.customer_cohorts_of_facts(self.facts)
+
+    @cached_property
+    def mart_delivery_analysis(self) -> DataFrame:
+        return marts.delivery_analysis_of_facts(self.facts, self.items, self.stg_sellers)
+
+    @cached_property
+    def mart_payment_behavior(self) -> DataFrame:
+        return marts.payment_behavior_of_facts(self.facts)
+
+    @cached_property
+    def mart_rfm_segmentation(self) -> DataFrame:
+        return marts.rfm_segmentation_of_facts(self.facts)
+
+    @cached_property
+    def mart_seller_performance(self) -> DataFrame:
+        return marts.seller_performance_of_facts(self.facts, self.items, self.stg_sellers)

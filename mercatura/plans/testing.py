@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from mercatura.operators.quality import run_checks
-from mercatura.session import stage
+from mercatura.session import shuffles_freed, stage
 
 Suite = Mapping[str, Sequence[dict]]
 
@@ -28,13 +28,15 @@ def check_models(
     """Check models that are not stored yet.
 
     A model is read once per uniqueness check, so the columns under test are
-    computed once and staged; several models at a time, to keep executors busy.
+    computed once and staged; several models at a time, to keep executors busy. Shuffle files
+    go with the query that wrote them, so those of one model are not kept until all are done.
     """
 
     def checked(name: str) -> DataFrame:
         columns = {check["kwargs"]["column"] for check in suite[name]}
         return stage(getattr(models, name).select(*sorted(columns)), name)
 
-    with ThreadPoolExecutor(parallel) as pool:
+    # Around all threads, as the setting is the session's.
+    with shuffles_freed(models.raw.orders.sparkSession), ThreadPoolExecutor(parallel) as pool:
         tables = dict(zip(suite, pool.map(checked, suite)))
     return run_suite(suite, tables, parents)

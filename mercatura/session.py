@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app_name: str = "mercatura", **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; ``conf`` adds or overrides.
@@ -50,6 +54,17 @@ def staged_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{app}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run inside go as soon as each query ends."""
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+
+
 def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; ``compression`` other than the session's is
     for large texts that stay long.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from mercatura.operators import quality, quarantine
 from mercatura.plans import suites
 from mercatura.plans.daily import gate
-from mercatura.plans.models import Models
+from mercatura.plans.models import Models, StagedModels
 from mercatura.plans.testing import check_models, run_suite
 from mercatura.session import staged_path
 from oracles.duck import key
@@ -137,7 +137,7 @@ register(
 register(
     "dq_mart_tests",
     RESULT,
-    lambda m: check_models(m, suites.MART_TESTS),
+    lambda m: check_models(StagedModels(m), suites.MART_TESTS),
     suite_sql(suites.MART_TESTS),
 )
 
